@@ -87,7 +87,9 @@ def percentiles_lineitem(p):
     return agg.percentiles(p.table("lineitem"), ["l_returnflag"], "l_extendedprice", {"p50": 0.5, "p90": 0.9})
 
 
-@query("a8_approx_percentiles", "genre:s p50:d p95:d p99:d")
+@query("a8_approx_percentiles", "genre:s p50:d p95:d p99:d",
+       """SELECT genre, quantile_disc(watch_seconds, 0.5) AS p50, quantile_disc(watch_seconds, 0.95) AS p95,
+          quantile_disc(watch_seconds, 0.99) AS p99 FROM ev JOIN titles USING (k) GROUP BY 1""")
 def approx_percentiles(p):
     return agg.approx_percentiles(watched(p), ["genre"], "watch_seconds", {"p50": 0.5, "p95": 0.95, "p99": 0.99})
 

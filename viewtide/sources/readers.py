@@ -70,10 +70,11 @@ def read_partitioned_json(spark: SparkSession, base: str, ddl: str, predicate: C
 def read_tolerant(spark: SparkSession, path: str, ddl: str) -> tuple[DataFrame, DataFrame]:
     """(good rows, corrupt lines); files that cannot be decompressed are skipped instead of failing the batch."""
     table = struct_of(ddl).add(CORRUPT, T.StringType())
-    df = (spark.read.schema(table).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-          .option("ignoreCorruptFiles", True).json(path))
-    # Spark refuses to answer from the corrupt column alone, so the split keeps every column.
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull())
+    # Parsed from text, because a JSON scan does not answer queries on the corrupt column alone.
+    lines = spark.read.option("ignoreCorruptFiles", True).text(path)
+    doc = F.from_json("value", table, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    rows = lines.select(doc.alias("d")).select("d.*")
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull())
 
 
 def read_event_stream(spark: SparkSession, fmt: str, options: Mapping[str, str], ddl: str) -> DataFrame:
