@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewtide import schema
 from viewtide.operators.windows import sessionize
 from viewtide.plans import dims, facts, marts
 from viewtide.plans.raw import Rules, newest_events, split_quarantine, with_reason
@@ -21,18 +22,34 @@ SESSION_GAP_SECONDS = 240 * 60
 RULES = Rules(event_types=("signup", "purchase", "view", "click"))
 ROLES = facts.Roles(play=("view",), pause=("click",), seek=("signup",), resume=(), complete=("purchase",),
                     end=("purchase", "click"))
+# Columns of the test tables.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+}
 DEVICE_TYPES = ("tv", "mobile", "laptop", "console")
 BITRATES = (1500, 3000, 5000, 8000)
 
 
-def padded(number: Column, width: int = 7) -> Column:
-    """Zero-padded to at least ``width`` digits, never cut."""
-    text = number.cast("string")
-    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+def padded(number: str, width: int = 7) -> str:
+    """SQL text: zero-padded to at least ``width`` digits, never cut."""
+    text = f"cast({number} as string)"
+    return f"if(length({text}) < {width}, lpad({text}, {width}, '0'), {text})"
 
 
-def pick(values: tuple, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(index, F.lit(len(values))) + 1).cast("int"))
+def pick(values: tuple, index: str) -> str:
+    """SQL text: the value at ``index`` modulo the number of values."""
+    listed = ", ".join(repr(v) for v in values)
+    return f"element_at(array({listed}), cast(pmod({index}, {len(values)}) + 1 as int))"
 
 
 class Playback:
@@ -43,7 +60,7 @@ class Playback:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def events(self) -> DataFrame:
@@ -51,30 +68,25 @@ class Playback:
 
     def as_landing(self, events: DataFrame) -> DataFrame:
         """Landing rows of source events, one to one (streams too)."""
-        eid = F.col("event_id")
-        k = F.get_json_object("props", "$.k").cast("bigint")
-        ts = F.col("ts").cast("timestamp")
-        delay = eid * 7919 % 5400 + F.when(eid % 211 == 0, 25 * 3600).when(eid % 197 == 0, -3 * 3600).otherwise(0)
-        return events.select(
-            eid, F.col("user_id").cast("string").alias("customer_id"), F.col("user_id"),
-            F.when(eid % 307 == 0, F.concat(F.lit("bad"), eid.cast("string")))
-            .otherwise(F.concat(F.lit("tt"), padded(k))).alias("title_id"),
-            F.concat(F.lit("d"), (k % 10).cast("string")).alias("device_id"),
-            F.concat(F.lit("d"), (k % 10).cast("string"), F.lit("_v"), (k % 2).cast("string"))
-            .alias("device_version_id"),
-            "event_type", ts.alias("event_timestamp"),
-            F.timestamp_micros(F.unix_micros(ts) + delay * 1_000_000).alias("server_received_at"),
-            F.floor(F.col("value") * 10000).cast("int").alias("position_ms"),
-            pick(BITRATES, k).alias("bitrate_kbps"),
-            F.concat(F.lit("C"), (F.col("user_id") % 10).cast("string")).alias("geo_country"),
-            F.lit(1).alias("schema_version"), F.to_date(ts).alias("event_date"), F.hour(ts).alias("event_hour"))
+        keyed = events.selectExpr("event_id", "user_id", "event_type", "value", "cast(ts as timestamp) as ts",
+                                  "cast(get_json_object(props, '$.k') as bigint) as k")
+        return keyed.selectExpr(
+            "event_id", "cast(user_id as string) as customer_id", "user_id",
+            f"if(event_id % 307 = 0, concat('bad', event_id), concat('tt', {padded('k')})) as title_id",
+            "concat('d', k % 10) as device_id", "concat('d', k % 10, '_v', k % 2) as device_version_id",
+            "event_type", "ts as event_timestamp",
+            "timestamp_micros(unix_micros(ts) + 1000000 * (event_id * 7919 % 5400 + case when event_id % 211 = 0 "
+            "then 25 * 3600 when event_id % 197 = 0 then -3 * 3600 else 0 end)) as server_received_at",
+            "cast(floor(value * 10000) as int) as position_ms", f"{pick(BITRATES, 'k')} as bitrate_kbps",
+            "concat('C', user_id % 10) as geo_country", "1 as schema_version", "to_date(ts) as event_date",
+            "hour(ts) as event_hour")
 
     @cached_property
     def landing(self) -> DataFrame:
         """At-least-once landing: every 50th event arrives a second time, a minute later and further on."""
-        again = self.as_landing(self.events.where(F.col("event_id") % 50 == 0)).withColumns({
-            "server_received_at": F.col("server_received_at") + F.expr("interval 60 seconds"),
-            "position_ms": F.col("position_ms") + 10000})
+        again = self.as_landing(self.events.where("event_id % 50 = 0")).selectExpr(
+            "* except (server_received_at, position_ms)",
+            "server_received_at + interval 60 seconds as server_received_at", "position_ms + 10000 as position_ms")
         return self.as_landing(self.events).unionByName(again)
 
     @cached_property
@@ -92,7 +104,7 @@ class Playback:
     @cached_property
     def raw(self) -> DataFrame:
         """Clean, deduplicated events with a session id per user and 240-minute silence."""
-        probe = self.events.select("user_id", F.col("ts").cast("timestamp").alias("event_timestamp"), "event_id")
+        probe = self.events.selectExpr("user_id", "cast(ts as timestamp) as event_timestamp", "event_id")
         numbered = sessionize(self.deduplicated, ["user_id"], ["event_timestamp", "event_id"], "event_timestamp",
                               SESSION_GAP_SECONDS, probe=probe)
         return (numbered.withColumn("session_id", F.concat_ws("-", "customer_id", F.col("session_num").cast("string")))
@@ -102,12 +114,11 @@ class Playback:
 
     @cached_property
     def titles_source(self) -> DataFrame:
-        p = F.col("p_partkey")
-        return self.table("part").select(
-            F.concat(F.lit("tt"), padded(p)).alias("tconst"), F.col("p_name").alias("primary_title"),
-            F.col("p_type").alias("title_type"), F.regexp_replace("p_name", " ", ",").alias("genres"),
-            F.col("p_size").alias("runtime_minutes"), ((p % 91) / 10 + 1).cast("decimal(3,1)").alias("imdb_rating"),
-            (p * 7 % 1000).cast("int").alias("num_votes"))
+        return self.table("part").selectExpr(
+            f"concat('tt', {padded('p_partkey')}) as tconst", "p_name as primary_title", "p_type as title_type",
+            "replace(p_name, ' ', ',') as genres", "p_size as runtime_minutes",
+            "cast((p_partkey % 91) / 10 + 1 as decimal(3,1)) as imdb_rating",
+            "cast(p_partkey * 7 % 1000 as int) as num_votes")
 
     @cached_property
     def nations(self) -> DataFrame:
@@ -115,26 +126,23 @@ class Playback:
 
     @cached_property
     def customers_source(self) -> DataFrame:
-        c = F.col("c_custkey")
-        return self.table("customer").join(self.nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
-            c.cast("string").alias("customer_id"), F.sha2(c.cast("string"), 256).alias("email_hash"),
-            F.date_add(F.lit("2023-11-06").cast("date"), (c % 70).cast("int")).alias("signup_date"),
-            F.col("n_name").alias("country"), F.col("c_mktsegment").alias("plan_tier"),
-            pick(("18-24", "25-34", "35-49", "50+"), c).alias("age_band"),
-            (c % 5 + 1).cast("int").alias("household_size"))
+        named = self.table("customer").withColumnRenamed("c_nationkey", "n_nationkey").join(
+            self.nations, "n_nationkey", "left")
+        return named.selectExpr(
+            "cast(c_custkey as string) as customer_id", "sha2(cast(c_custkey as string), 256) as email_hash",
+            "date_add(date'2023-11-06', cast(c_custkey % 70 as int)) as signup_date", "n_name as country",
+            "c_mktsegment as plan_tier", f"{pick(schema.AGE_BANDS, 'c_custkey')} as age_band",
+            "cast(c_custkey % 5 + 1 as int) as household_size")
 
     @cached_property
     def registry(self) -> DataFrame:
-        s = F.col("s_suppkey")
-        base = self.table("supplier").join(self.nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-        device = F.concat(F.lit("d"), s.cast("string"))
-        v = F.explode(F.array(F.lit(0), F.lit(1)))
-        return base.select("*", v.alias("v")).select(
-            device.alias("device_id"), F.concat(device, F.lit("_v"), F.col("v").cast("string"))
-            .alias("device_version_id"), pick(DEVICE_TYPES, s).alias("device_type"), F.col("n_name").alias("platform"),
-            F.col("s_name").alias("device_model"), F.concat(F.lit("os"), F.col("s_nationkey").cast("string"))
-            .alias("os_version"), F.concat(F.lit("app"), F.col("v").cast("string")).alias("app_version"),
-            ((F.col("v") == 0) & (F.col("s_acctbal") < 0)).alias("is_deprecated"))
+        named = self.table("supplier").withColumnRenamed("s_nationkey", "n_nationkey").join(
+            self.nations, "n_nationkey", "left")
+        return named.selectExpr("*", "explode(array(0, 1)) as v").selectExpr(
+            "concat('d', s_suppkey) as device_id", "concat('d', s_suppkey, '_v', v) as device_version_id",
+            f"{pick(DEVICE_TYPES, 's_suppkey')} as device_type", "n_name as platform", "s_name as device_model",
+            "concat('os', n_nationkey) as os_version", "concat('app', v) as app_version",
+            "v = 0 and s_acctbal < 0 as is_deprecated")
 
     # --- dimensions ---
 

@@ -32,7 +32,7 @@ class Query:
             return None
         casts = {"i": "CAST({c} AS BIGINT)", "d": "ROUND(CAST({c} AS DOUBLE), 6)", "s": "CAST({c} AS VARCHAR)",
                  "t": "strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"}
-        cols = ", ".join(f"{casts[k].format(c=c)} AS {c}" for c, k in self.kinds.items())
+        cols = ", ".join(casts[k].format(c=f'"{c}"') + f' AS "{c}"' for c, k in self.kinds.items())
         return f"{with_clause(self.sql)}SELECT {cols} FROM ({self.sql.strip()}) AS q"
 
 

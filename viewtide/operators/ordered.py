@@ -98,9 +98,10 @@ def running_max(col: str) -> Scan:
     )
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's upper estimate of the frame's size."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """Size of the tables a frame reads, by the optimizer's statistics."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def _none_first(value):
@@ -143,7 +144,7 @@ class Ordered:
         keys, order = tuple(keys), tuple(order)
         plain = cls(df, keys, order)
         probe = df if probe is None else probe
-        if hot_rows is None and plan_bytes(probe) < SMALL_INPUT_BYTES:
+        if hot_rows is None and input_bytes(probe) < SMALL_INPUT_BYTES:
             return plain
         limits = _chunk_limits(probe.select(*keys, *[c for c in order if c not in keys]), keys, order,
                                hot_rows or HOT_ROWS)

@@ -9,8 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewtide.functions.scalars import (completion_pct, count_where, date_key, epoch_seconds, first_known,
-                                        value_at_last)
+from viewtide.functions.scalars import completion_pct, date_key, epoch_seconds, value_at_last
 from viewtide.operators.joins import null_safe_join, resolve_keys
 from viewtide.operators.windows import watch_deltas
 from viewtide.sources import tables
@@ -39,26 +38,27 @@ def build_fact_events(raw: DataFrame, dims: Mapping[str, tuple[DataFrame, str, s
     return keyed.select(*EVENT_COLS, *keep)
 
 
-def _is(types: Sequence[str]) -> Column:
-    return F.coalesce(F.col("event_type").isin(list(types)), F.lit(False))
+def _among(types: Sequence[str]) -> str:
+    """SQL text: whether the event type is one of ``types``; false when it is missing."""
+    listed = ", ".join(f"'{t}'" for t in types)
+    return f"coalesce(event_type in ({listed}), false)" if types else "false"
 
 
 def session_aggregate(events: DataFrame, roles: Roles = Roles(), extra: bool = False) -> DataFrame:
     """One row per session from all of its events, combined map-side before the shuffle."""
-    order = ["event_timestamp", "event_id"]
-    aggs = [first_known(c, order).alias(c) for c in FK_COLS if c in events.columns]
-    aggs += [
-        F.min("event_timestamp").alias("session_start_ts"),
-        F.max("event_timestamp").alias("session_end_ts"),
-        F.max("position_ms").alias("max_position_ms"),
-        count_where(_is(roles.pause)).alias("pause_count"),
-        count_where(_is(roles.seek)).alias("seek_count"),
-        F.bool_or(_is(roles.complete)).alias("was_completed"),
-        F.bool_or(_is(roles.end)).alias("__ended"),
+    known = [f"min_by({c}, if({c} is not null, struct(event_timestamp, event_id), null)) as {c}"
+             for c in FK_COLS if c in events.columns]
+    aggs = known + [
+        "min(event_timestamp) as session_start_ts",
+        "max(event_timestamp) as session_end_ts",
+        "max(position_ms) as max_position_ms",
+        f"count_if({_among(roles.pause)}) as pause_count",
+        f"count_if({_among(roles.seek)}) as seek_count",
+        f"bool_or({_among(roles.complete)}) as was_completed",
     ]
     if extra:
-        aggs.append(count_where(_is([*roles.play, *roles.resume])).alias("play_resume_count"))
-    return events.groupBy("session_id").agg(*aggs)
+        aggs.append(f"count_if({_among([*roles.play, *roles.resume])}) as play_resume_count")
+    return events.groupBy("session_id").agg(*map(F.expr, aggs))
 
 
 def build_fact_sessions(events: DataFrame, titles: DataFrame, roles: Roles = Roles(),
@@ -146,7 +146,7 @@ def force_closed(sessions: DataFrame, as_of: Column, idle_seconds: int = 24 * 36
 
 def ended_flag(events: DataFrame, roles: Roles = Roles()) -> DataFrame:
     return events.groupBy("session_id").agg(F.max("event_timestamp").alias("session_end_ts"),
-                                            F.bool_or(_is(roles.end)).alias("ended"))
+                                            F.expr(f"bool_or({_among(roles.end)}) as ended"))
 
 
 def active_watch(events: DataFrame, roles: Roles = Roles(), hot_rows: int | None = None) -> DataFrame:

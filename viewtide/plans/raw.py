@@ -29,26 +29,27 @@ class Rules:
     schema_version: int | None = None  # None: any version
     required: Sequence[str] = ("event_id", "event_type", "title_id", "event_timestamp", "server_received_at")
 
-    def ordered(self) -> list[tuple[str, Column]]:
-        """(reason, condition) in the order in which the first match wins.
+    def ordered(self) -> list[tuple[str, str]]:
+        """(reason, SQL condition) in the order in which the first match wins.
 
         A condition on a missing value is NULL and does not match; the ``missing_*`` reasons catch those rows, so no
         row is neither clean nor quarantined.
         """
-        event, server = F.unix_micros("event_timestamp"), F.unix_micros("server_received_at")
-        found: list[tuple[str, Column]] = [("unknown_event_type", ~F.col("event_type").isin(list(self.event_types)))]
+        types = ", ".join(f"'{t}'" for t in self.event_types)
+        found = [("unknown_event_type", f"event_type not in ({types})")]
         if self.schema_version is not None:
-            found.append(("schema_version_mismatch", F.col("schema_version") != self.schema_version))
+            found.append(("schema_version_mismatch", f"schema_version <> {self.schema_version}"))
         found += [
-            ("future_client_clock", event > server + self.clock_skew_seconds * 1_000_000),
-            ("invalid_title_id", ~F.col("title_id").rlike(self.title_pattern)),
-            ("missing_event_id", F.col("event_id").isNull()),
-            ("stale_late_arrival", F.unix_timestamp("server_received_at") - F.unix_timestamp("event_timestamp")
-             > self.stale_seconds),
+            ("future_client_clock",
+             f"event_timestamp > server_received_at + interval {self.clock_skew_seconds} seconds"),
+            ("invalid_title_id", f"not title_id rlike '{self.title_pattern}'"),
+            ("missing_event_id", "event_id is null"),
+            ("stale_late_arrival",
+             f"unix_timestamp(server_received_at) - unix_timestamp(event_timestamp) > {self.stale_seconds}"),
         ]
-        found += [(f"missing_{c}", F.col(c).isNull()) for c in self.required if c != "event_id"]
+        found += [(f"missing_{c}", f"{c} is null") for c in self.required if c != "event_id"]
         if self.schema_version is not None:
-            found.append(("missing_schema_version", F.col("schema_version").isNull()))
+            found.append(("missing_schema_version", "schema_version is null"))
         return found
 
 
@@ -73,10 +74,8 @@ def conform_events(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
 
 def with_reason(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Add the first matching quarantine reason, NULL for a clean row."""
-    reason = F.lit(None).cast("string")
-    for name, cond in reversed(rules.ordered()):
-        reason = F.when(cond, F.lit(name)).otherwise(reason)
-    return df.withColumn(REASON, reason)
+    cases = " ".join(f"when {cond} then '{name}'" for name, cond in rules.ordered())
+    return df.withColumn(REASON, F.expr(f"case {cases} end"))
 
 
 def split_quarantine(df: DataFrame, rules: Rules = Rules()) -> tuple[DataFrame, DataFrame]:

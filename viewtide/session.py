@@ -14,13 +14,18 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+STATIC = {
+    "spark.ui.enabled": "false",
+    # Recording a call site for every Column call costs several gateway round trips each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
 
 
 def build_session(app: str = "viewtide", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**ADAPTIVE, "spark.ui.enabled": "false", **conf}.items():
+    for key, value in {**ADAPTIVE, **STATIC, **conf}.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate())
 
