@@ -16,7 +16,7 @@ from viewtide import schema
 from viewtide.operators.windows import sessionize
 from viewtide.plans import dims, facts, marts
 from viewtide.plans.raw import Rules, newest_events, split_quarantine, with_reason
-from viewtide.session import prepare
+from viewtide.session import prepare, work_path
 
 SESSION_GAP_SECONDS = 240 * 60
 RULES = Rules(event_types=("signup", "purchase", "view", "click"))
@@ -203,6 +203,18 @@ class Playback:
     def funnel_mart(self) -> DataFrame:
         return marts.completion_funnel(self.fact_sessions, self.dim_title)
 
+    def stored(self, *names: str) -> Playback:
+        """The same model with the named tables written once, in order, to the shared folder and read back.
+
+        For queries that use a table several times, which would otherwise compute it several times.
+        """
+        out, root = Playback(self.spark, self.folder), work_path(self.spark, "zone")
+        for n in names:
+            df = getattr(out, n)
+            df.write.parquet(f"{root}/{n}")
+            out.__dict__[n] = self.spark.read.schema(df.schema).parquet(f"{root}/{n}")
+        return out
+
     def tables(self, *names: str) -> dict[str, DataFrame]:
         own = {"customers": "customers_source"}
         return {n: getattr(self, own.get(n, n)) for n in names}

@@ -132,6 +132,7 @@ for _name, (_sql, _build, _needs) in RECONCILED.items():
     "q5_date_key_matches", "q6_sessions_equal", "q7_completion_range", "q8_end_after_start", "q9_watch_within_span",
     "q10_mart_sessions", "q11_device_equals_content", "q12_genre_pct", "q4_daily_date_key_resolves")))
 def reconciliation(p):
+    p = p.stored("raw", "fact_events", "fact_sessions", "content_mart")
     return quality.run_all(p.tables("raw", "fact_events", "fact_sessions", "fact_daily", "dim_date", "content_mart",
                                     "device_mart", "genre_mart"))
 
@@ -212,6 +213,7 @@ def _unique(name, table, cols):
     [sql for t, (need, ranges, unique) in quality.MART_TESTS.items()
      for sql in [*[_filled(t, t, c) for c in need], *[_range(t, t, *r) for r in ranges], _unique(t, t, unique)]]))
 def mart_tests(p):
+    p = p.stored("fact_sessions", "content_mart", "device_mart", "genre_mart", "funnel_mart")
     return quality.mart_tests(p.tables("content_mart", "device_mart", "genre_mart", "funnel_mart"))
 
 

@@ -37,7 +37,7 @@ def _writer(df: DataFrame, parts: Sequence[str], max_records: int | None = None)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return bool(Files(spark, path).leaves(path))
+    return any(not name.startswith(("_", ".")) for name, _, _ in Files(spark, path).children(path))
 
 
 def read_table(spark: SparkSession, path: str, table_schema: T.StructType | None = None) -> DataFrame:
@@ -94,17 +94,16 @@ def _relative(parts: Sequence[str], values: Sequence[object]) -> str:
     return "/".join(names)
 
 
-def _in_partitions(parts: Sequence[str], rows: Sequence[Sequence[object]]) -> Column:
-    """Literal partition predicate, so the scan prunes directories."""
-    def one(row: Sequence[object]) -> Column:
-        tests = [F.col(p).isNull() if v is None else F.col(p) == F.lit(v) for p, v in zip(parts, row)]
-        return reduce(lambda a, b: a & b, tests)
-
+def _in_partitions(df: DataFrame, parts: Sequence[str], rows: Sequence[Sequence[object]]) -> DataFrame:
+    """Rows of the named partitions. The first partition column is tested against literals, so the scan prunes
+    directories; further columns are matched by a join with the partition list, which is one row per directory."""
+    first = {r[0] for r in rows}
+    test = F.col(parts[0]).isin([v for v in first if v is not None])
+    out = df.where(test | F.col(parts[0]).isNull() if None in first else test)
     if len(parts) == 1:
-        known = [r[0] for r in rows if r[0] is not None]
-        test = F.col(parts[0]).isin(known)
-        return test | F.col(parts[0]).isNull() if len(known) < len(rows) else test
-    return reduce(lambda a, b: a | b, [one(r) for r in rows], F.lit(False))
+        return out
+    fields = T.StructType([df.schema[p] for p in parts])
+    return null_safe_join(out, F.broadcast(df.sparkSession.createDataFrame(list(rows), fields)), parts, "left_semi")
 
 
 def upsert(batch: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str], order: Sequence[str],
@@ -135,7 +134,7 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str
     lookup = target if scope is None else target.where(scope)
     holding = null_safe_join(lookup.select(*keys, *parts), incoming.select(*keys), keys, "left_semi").select(*parts)
     affected = [tuple(r) for r in holding.unionByName(incoming.select(*parts)).distinct().collect()]  # partitions
-    old = target.where(_in_partitions(parts, affected)) if parts else target
+    old = _in_partitions(target, parts, affected) if parts else target
 
     def rival(side: DataFrame) -> DataFrame:
         return side.select(*keys, F.struct(*order).alias("__rival"))
@@ -160,7 +159,7 @@ def replace_partitions(df: DataFrame, path: str, part: str, values: Sequence[obj
     files = Files(spark, path)
     roll_forward(spark, path)
     stage = f"{path}/_stage-{uuid.uuid4().hex}"
-    wanted = df.where(_in_partitions([part], [(v,) for v in values]))
+    wanted = _in_partitions(df, [part], [(v,) for v in values])
     _writer(wanted, [part]).parquet(f"{stage}/data")
     _publish(files, path, stage, [_relative([part], (v,)) for v in values])
 

@@ -28,7 +28,7 @@ def earliest_day(batch: DataFrame, facts: DataFrame | None) -> Column:
 
 def update_sessions(batch: DataFrame, raw_path: str, quarantine_path: str, fact_path: str,
                     resolve: Callable[[DataFrame], DataFrame], titles: DataFrame, rules: Rules = Rules(),
-                    roles: Roles = Roles()) -> None:
+                    roles: Roles = Roles(), raw_parts: Sequence[str] = ("event_date", "event_hour")) -> None:
     """Bring raw and session fact up to date with one micro-batch; running it twice changes nothing.
 
     Sessions are recomputed from all of their raw events, so late and repeated events end in the same row as a batch
@@ -37,7 +37,7 @@ def update_sessions(batch: DataFrame, raw_path: str, quarantine_path: str, fact_
     spark = batch.sparkSession
     clean, bad = split_quarantine(batch, rules)
     clean = newest_events(clean)
-    store_raw_events(clean, bad, raw_path, quarantine_path)
+    store_raw_events(clean, bad, raw_path, quarantine_path, parts=raw_parts)
     if clean.isEmpty():
         return
     facts = tables.read_table(spark, fact_path) if tables.table_exists(spark, fact_path) else None
