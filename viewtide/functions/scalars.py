@@ -115,7 +115,7 @@ def fix_encoding(df: DataFrame, cols: Sequence[str], flag: str = "encoding_warni
 def explode_list(df: DataFrame, col: str, sep: str = ",", out: str | None = None) -> DataFrame:
     """One row per trimmed, non-empty member of a delimited column; rows with a NULL list disappear."""
     out = out or col
-    members = F.filter(F.transform(F.split(F.col(col), sep), F.trim), lambda m: m != "")
+    members = F.filter(F.transform(F.split(F.col(col), sep), lambda m: F.trim(m)), lambda m: m != "")
     return df.withColumn(out, F.explode(members))
 
 
