@@ -36,14 +36,15 @@ TABLES = {
                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
                 "l_shipdate timestamp_ntz",
 }
+# ``props`` is a JSON object with one number; a pattern reads it at a fraction of the cost of a JSON parser.
+K = """cast(regexp_extract(props, '"k": *([0-9]+)', 1) as bigint)"""
 DEVICE_TYPES = ("tv", "mobile", "laptop", "console")
 BITRATES = (1500, 3000, 5000, 8000)
 
 
 def padded(number: str, width: int = 7) -> str:
     """SQL text: zero-padded to at least ``width`` digits, never cut."""
-    text = f"cast({number} as string)"
-    return f"if(length({text}) < {width}, lpad({text}, {width}, '0'), {text})"
+    return f"concat(substr('{'0' * width}', 1 + length({number})), {number})"
 
 
 def pick(values: tuple, index: str) -> str:
@@ -69,7 +70,7 @@ class Playback:
     def as_landing(self, events: DataFrame) -> DataFrame:
         """Landing rows of source events, one to one (streams too)."""
         keyed = events.selectExpr("event_id", "user_id", "event_type", "value", "cast(ts as timestamp) as ts",
-                                  "cast(get_json_object(props, '$.k') as bigint) as k")
+                                  f"{K} as k")
         return keyed.selectExpr(
             "event_id", "cast(user_id as string) as customer_id", "user_id",
             f"if(event_id % 307 = 0, concat('bad', event_id), concat('tt', {padded('k')})) as title_id",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewtide.bind import Playback
+from viewtide.bind import K, Playback
 from viewtide.catalog.registry import query
 from viewtide.functions.scalars import any_event, count_where, decile, exact_ratio, first_known, value_at_last
 from viewtide.operators import aggregates as agg
@@ -19,7 +19,7 @@ def ev(p: Playback) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
     return p.events.select(
         "event_id", ts.alias("event_time"), F.to_date(ts).alias("day"), "user_id", "event_type", "value", "props",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+        F.expr(K).alias("k"),
         F.floor(F.col("value") * 10).alias("watch_seconds"))
 
 
