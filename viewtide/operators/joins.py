@@ -1,8 +1,7 @@
 """Equi-joins of facts, dimensions and aggregates.
 
-No join here carries a broadcast hint for data that grows: Spark broadcasts a side when its size statistics are under
-``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at run time), else it sorts and merges, and AQE splits skewed
-partitions.
+A dimension is broadcast only while the tables it is computed from are small (:func:`small_side`). Beyond that Spark
+sorts and merges, or broadcasts by its own statistics, and AQE splits skewed partitions of the fact.
 """
 
 from __future__ import annotations
@@ -16,6 +15,21 @@ from pyspark.sql import functions as F
 from viewtide.functions.scalars import explode_list
 
 
+BROADCAST_BYTES = 8 << 20  # stored bytes behind a dimension up to which it is broadcast
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the tables a frame reads, by the optimizer's statistics."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def small_side(dim: DataFrame) -> DataFrame:
+    """The dimension with a broadcast hint if its inputs are small. The optimizer's own estimate multiplies the sides of
+    a join inside the dimension and would miss it."""
+    return F.broadcast(dim) if input_bytes(dim) <= BROADCAST_BYTES else dim
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join that matches NULL keys; the result holds the left keys once."""
     other = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
@@ -26,7 +40,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 def attach(fact: DataFrame, dim: DataFrame, key: str, cols: Sequence[str], how: str = "left") -> DataFrame:
     """Bring dimension columns to the fact on a shared key; ``how="inner"`` drops unresolved rows."""
-    return fact.join(dim.select(key, *cols), key, how)
+    return fact.join(small_side(dim.select(key, *cols)), key, how)
 
 
 def resolve_keys(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
@@ -37,7 +51,7 @@ def resolve_keys(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str, str]]
     out = fact
     for fk, (dim, natural, surrogate) in dims.items():
         lookup = dim.select(F.col(natural).alias("__nk"), surrogate)
-        out = out.join(lookup, out[fk] == lookup["__nk"], "left").drop("__nk")
+        out = out.join(small_side(lookup), F.col(fk) == F.col("__nk"), "left").drop("__nk")
     return out
 
 
@@ -56,7 +70,7 @@ def new_keys(src: DataFrame, existing: DataFrame, natural: str) -> DataFrame:
 
 def parent_key(child: DataFrame, parent: DataFrame, natural: str, key: str, how: str = "left") -> DataFrame:
     """Give the child dimension its parent's surrogate key."""
-    return child.join(parent.select(natural, key), natural, how)
+    return child.join(small_side(parent.select(natural, key)), natural, how)
 
 
 def by_list_member(df: DataFrame, col: str, dim: DataFrame, member: str, sep: str = ",") -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewtide.operators.joins import null_safe_join
+from viewtide.operators.joins import input_bytes, null_safe_join
 
 HOT_ROWS = 2_000_000          # rows of one key that one task takes without splitting
 SMALL_INPUT_BYTES = 64 << 20  # an input below this cannot hold a group worth splitting
@@ -98,12 +98,6 @@ def running_max(col: str) -> Scan:
     )
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of the tables a frame reads, by the optimizer's statistics."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
 def _none_first(value):
     """Sort key with Spark's ascending order: NULL before every value, structs field by field."""
     if isinstance(value, tuple):

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewtide.functions.scalars import completion_pct, date_key, epoch_seconds, value_at_last
-from viewtide.operators.joins import null_safe_join, resolve_keys
+from viewtide.operators.joins import attach, null_safe_join, resolve_keys
 from viewtide.operators.windows import watch_deltas
 from viewtide.sources import tables
 
@@ -65,10 +65,9 @@ def build_fact_sessions(events: DataFrame, titles: DataFrame, roles: Roles = Rol
                         extra: bool = False) -> DataFrame:
     """Accumulating snapshot: watch time is wall clock, completion is the furthest position over the runtime."""
     agg = session_aggregate(events, roles, extra)
-    runtime = titles.select("title_key", "runtime_minutes")
     start, end = F.col("session_start_ts"), F.col("session_end_ts")
     more = ["play_resume_count", F.col("session_end_ts").alias("_last_event_at")] if extra else []
-    return agg.join(runtime, "title_key", "left").select(
+    return attach(agg, titles, "title_key", ["runtime_minutes"]).select(
         "session_id", *[c for c in FK_COLS if c in agg.columns],
         date_key(F.to_date(start)).alias("date_key"), start, end,
         (epoch_seconds(end) - epoch_seconds(start)).cast("int").alias("watch_duration_seconds"),
