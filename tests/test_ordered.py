@@ -115,14 +115,28 @@ def test_assign_keys(spark, hot_rows):
     assert got == {n: i + 11 for i, n in enumerate(sorted(names))}
 
 
-def test_no_single_partition_exchange_when_split(rows):
-    """The detail rows of a split whole-table scan never meet in one partition."""
-    df = Ordered.split(rows, [], ORDER, hot_rows=100).scan(n=running_count()).df
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    window_over_chunk = [line for line in plan.splitlines() if "Window" in line and "__chunk" in line and "id#" in line]
-    assert window_over_chunk
-    detail_side = plan.split("SinglePartition")[0]
-    assert "hashpartitioning(__chunk" in detail_side
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_scan_shuffles_the_detail_once(rows):
+    """Shuffles: detail by key and chunk, chunk summaries, and the carry window over the summaries."""
+    split = Ordered.split(rows, ["k"], ORDER, hot_rows=100)
+    plan = plan_of(split.scan(prev=previous("v"), total=running_sum("v")).df)
+    assert plan.count("Exchange hashpartitioning") == 3 and "SortMergeJoin" not in plan
+
+
+def test_whole_table_scan_has_no_single_task_over_the_detail(rows):
+    """Only the summaries (one row per chunk) meet in one partition."""
+    plan = plan_of(Ordered.split(rows, [], ORDER, hot_rows=100).scan(n=running_count()).df)
+    assert plan.count("Exchange SinglePartition") == 1
+    below = plan.split("Exchange SinglePartition")[1].splitlines()[1]
+    assert "HashAggregate(keys=[__chunk" in below
+
+
+def test_small_input_keeps_the_plain_window(rows):
+    plan = plan_of(Ordered.split(rows, ["k"], ORDER).scan(n=running_count()).df)
+    assert plan.count("Exchange hashpartitioning") == 1 and "__chunk" not in plan
 
 
 def test_rolling_actives_brute_force(spark):

@@ -48,6 +48,10 @@ RECONCILED = {
         zero("fact_daily_date_key_resolves", "count(*)",
              "(SELECT 1 FROM fact_daily WHERE date_key NOT IN (SELECT date_key FROM dim_date))"),
         lambda t: quality.check_date_key_resolves(t, "fact_daily"), "fact_daily dim_date"),
+    "q4_session_date_key_resolves": (
+        zero("fact_sessions_date_key_resolves", "count(*)",
+             "(SELECT 1 FROM fact_sessions WHERE date_key NOT IN (SELECT date_key FROM dim_date))"),
+        lambda t: quality.check_date_key_resolves(t, "fact_sessions"), "fact_sessions dim_date"),
     "q5_date_key_matches": (
         zero("date_key_matches_event_date", "count(*) FILTER (WHERE date_key <> CAST(strftime(event_date, '%Y%m%d') "
              "AS BIGINT))", "fact_events"), quality.check_date_key_matches, "fact_events"),
@@ -256,11 +260,11 @@ def position_drops(p):
 
 @query("q30_fk_violations", CHECK,
        zeros({"unknown_title": "count(*) FILTER (WHERE title_id NOT IN (SELECT tconst FROM titles_source "
-                               "WHERE num_votes % 5 <> 0))",
+                               "WHERE title_type <> 'PROMO'))",
               "unknown_customer": "count(*) FILTER (WHERE customer_id NOT IN (SELECT customer_id FROM "
                                   "customers_source WHERE household_size <> 3))"}, "landing"))
 def fk_violations(p):
-    return quality.fk_violations(p.landing, p.titles_source.where("num_votes % 5 <> 0"),
+    return quality.fk_violations(p.landing, p.titles_source.where("title_type <> 'PROMO'"),
                                  p.customers_source.where("household_size <> 3"), "tconst", "customer_id")
 
 
@@ -348,7 +352,7 @@ def smoke_checks(p):
        zero("tconst_unique", "count(*)", "(SELECT 1 FROM titles_source GROUP BY tconst HAVING count(*) > 1)")
        + " UNION ALL " + zero("tconst_not_null", "count(*) FILTER (WHERE tconst IS NULL)", "titles_source")
        + """ UNION ALL SELECT 'row_count_delta', abs(a - b) <= 0.2 * b, CAST(a AS VARCHAR), CAST(b AS VARCHAR) FROM
-          (SELECT count(*) AS a, count(*) FILTER (WHERE num_votes % 3 <> 0) AS b FROM titles_source)""")
+          (SELECT count(*) AS a, count(*) FILTER (WHERE title_type <> 'PROMO') AS b FROM titles_source)""")
 def vendor_load(p):
-    return quality.vendor_load(p.titles_source, p.titles_source.where("num_votes % 3 <> 0"), "tconst")
+    return quality.vendor_load(p.titles_source, p.titles_source.where("title_type <> 'PROMO'"), "tconst")
 

@@ -301,18 +301,18 @@ def resolve_keys(p):
 
 @query("j2_attach_left", "l_returnflag:s p_type:s n:i",
        """SELECT l_returnflag, p_type, count(*) AS n FROM lineitem LEFT JOIN (SELECT * FROM part
-          WHERE p_partkey % 4 <> 0) ON l_partkey = p_partkey GROUP BY 1, 2""")
+          WHERE p_size > 10) ON l_partkey = p_partkey GROUP BY 1, 2""")
 def attach_left(p):
-    part = p.table("part").where(F.col("p_partkey") % 4 != 0).withColumnRenamed("p_partkey", "l_partkey")
+    part = p.table("part").where(F.col("p_size") > 10).withColumnRenamed("p_partkey", "l_partkey")
     return (joins.attach(p.table("lineitem").select("l_partkey", "l_returnflag"), part, "l_partkey", ["p_type"])
             .groupBy("l_returnflag", "p_type").agg(F.count(F.lit(1)).alias("n")))
 
 
 @query("j3_attach_inner", "l_returnflag:s p_type:s n:i",
        """SELECT l_returnflag, p_type, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey
-          WHERE p_partkey % 4 <> 0 GROUP BY 1, 2""")
+          WHERE p_size > 10 GROUP BY 1, 2""")
 def attach_inner(p):
-    part = p.table("part").where(F.col("p_partkey") % 4 != 0).withColumnRenamed("p_partkey", "l_partkey")
+    part = p.table("part").where(F.col("p_size") > 10).withColumnRenamed("p_partkey", "l_partkey")
     return (joins.attach(p.table("lineitem").select("l_partkey", "l_returnflag"), part, "l_partkey", ["p_type"],
                          "inner").groupBy("l_returnflag", "p_type").agg(F.count(F.lit(1)).alias("n")))
 
@@ -465,19 +465,19 @@ def range_backfill(p):
 # --- dimensions ---
 
 @query("dm1_upsert_scd1", "title_key:i tconst:s num_votes:i",
-       """WITH src AS (SELECT tconst, num_votes FROM titles_source WHERE num_votes % 7 <> 0),
+       """WITH src AS (SELECT tconst, num_votes FROM titles_source WHERE title_type <> 'SMALL'),
           old AS (SELECT row_number() OVER (ORDER BY tconst) AS title_key, tconst, num_votes + 5 AS num_votes
-                  FROM titles_source WHERE num_votes % 3 <> 0)
+                  FROM titles_source WHERE title_type <> 'PROMO')
           SELECT title_key, old.tconst, coalesce(src.num_votes, old.num_votes) AS num_votes
           FROM old LEFT JOIN src ON old.tconst = src.tconst
           UNION ALL
           SELECT (SELECT max(title_key) FROM old) + row_number() OVER (ORDER BY tconst), tconst, num_votes
           FROM src WHERE tconst NOT IN (SELECT tconst FROM old)""")
 def upsert_scd1(p):
-    rows = p.titles_source.select("tconst", "num_votes")
-    old = dims.upsert_scd1(None, rows.where(F.col("num_votes") % 3 != 0)
-                           .withColumn("num_votes", F.col("num_votes") + 5), "tconst", "title_key")
-    return dims.upsert_scd1(old, rows.where(F.col("num_votes") % 7 != 0), "tconst", "title_key")
+    rows = p.titles_source.select("tconst", "num_votes", "title_type")
+    before = rows.where("title_type <> 'PROMO'").selectExpr("tconst", "num_votes + 5 as num_votes")
+    now = rows.where("title_type <> 'SMALL'").select("tconst", "num_votes")
+    return dims.upsert_scd1(dims.upsert_scd1(None, before, "tconst", "title_key"), now, "tconst", "title_key")
 
 
 @query("dm2_dim_title", "title_key:i tconst:s primary_title:s title_type:s genres:s runtime_minutes:i imdb_rating:d",
@@ -543,11 +543,11 @@ def dim_geography(p):
 
 
 @query("dm9_soft_delete", "tconst:s is_active:s last_seen_yyyymm:i",
-       """SELECT tconst, num_votes % 7 <> 0 AS is_active, CASE WHEN num_votes % 7 <> 0 THEN 202402 ELSE 202401 END
+       """SELECT tconst, title_type <> 'SMALL' AS is_active, CASE WHEN title_type <> 'SMALL' THEN 202402 ELSE 202401 END
           AS last_seen_yyyymm FROM titles_source""")
 def soft_delete(p):
     first = dims.soft_delete(p.titles_source, p.titles_source, "tconst", 202401)
-    return dims.soft_delete(first, p.titles_source.where(F.col("num_votes") % 7 != 0), "tconst", 202402)
+    return dims.soft_delete(first, p.titles_source.where("title_type <> 'SMALL'"), "tconst", 202402)
 
 
 @query("dm10_key_collisions", "short_key:i natural_keys:i",
@@ -616,15 +616,15 @@ def active_watch(p):
 
 @query("fx8_orphan_rows", "event_id:i orphan_keys:s",
        """SELECT event_id, concat_ws(',', CASE WHEN NOT EXISTS (SELECT 1 FROM dim_customer c
-            WHERE c.customer_id = r.customer_id AND customer_key % 3 <> 0) THEN 'customer_key' END,
+            WHERE c.customer_id = r.customer_id AND plan_tier <> 'MACHINERY') THEN 'customer_key' END,
           CASE WHEN k_bad THEN 'title_key' END) AS orphan_keys
-          FROM (SELECT *, title_id NOT IN (SELECT tconst FROM dim_title WHERE title_key % 5 <> 0) AS k_bad FROM raw) r
+          FROM (SELECT *, title_id NOT IN (SELECT tconst FROM dim_title WHERE title_type <> 'PROMO') AS k_bad FROM raw) r
           WHERE k_bad OR NOT EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = r.customer_id
-            AND customer_key % 3 <> 0)""")
+            AND plan_tier <> 'MACHINERY')""")
 def orphan_rows(p):
     star = dict(p.star)
-    star["customer_id"] = (p.dim_customer.where(F.col("customer_key") % 3 != 0), "customer_id", "customer_key")
-    star["title_id"] = (p.dim_title.where(F.col("title_key") % 5 != 0), "tconst", "title_key")
+    star["customer_id"] = (p.dim_customer.where("plan_tier <> 'MACHINERY'"), "customer_id", "customer_key")
+    star["title_id"] = (p.dim_title.where("title_type <> 'PROMO'"), "tconst", "title_key")
     return facts.orphan_rows(facts.build_fact_events(p.raw, star))
 
 

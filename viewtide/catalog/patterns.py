@@ -56,9 +56,9 @@ def count_if(p):
 
 
 @query("a4_first_known", "user_id:i first_k:i",
-       """SELECT user_id, arg_min(k, event_time) FILTER (WHERE k % 3 <> 0) AS first_k FROM ev GROUP BY 1""")
+       """SELECT user_id, arg_min(k, event_time) FILTER (WHERE value > 2) AS first_k FROM ev GROUP BY 1""")
 def first_non_null(p):
-    rows = ev(p).withColumn("known", F.when(F.col("k") % 3 != 0, F.col("k")))
+    rows = ev(p).withColumn("known", F.when(F.col("value") > 2, F.col("k")))
     return rows.groupBy("user_id").agg(first_known("known", ORDER).alias("first_k"))
 
 

@@ -35,12 +35,12 @@ def replace_table(p):
        """SELECT user_id, event_id, day FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_time
           DESC, event_id DESC) AS rn FROM ev) WHERE rn = 1""")
 def create_then_upsert(p):
-    """Latest event per user, fed in two halves; rows move between day partitions on the way."""
+    """Latest event per user, fed in two batches by type; rows move between day partitions on the way."""
     path = work_path(p.spark, "latest")
-    rows = ev(p).select("user_id", "event_id", "event_time", "day")
-    for half in (0, 1):
-        part = latest_per_key(rows.where(F.col("event_id") % 2 == half), ["user_id"], ["event_time", "event_id"])
-        tables.upsert(part, path, ["user_id"], ["day"], ["event_time", "event_id"])
+    rows = ev(p).select("user_id", "event_id", "event_time", "day", "event_type")
+    for batch in ("event_type in ('view', 'click')", "event_type not in ('view', 'click')"):
+        newest = latest_per_key(rows.where(batch), ["user_id"], ["event_time", "event_id"])
+        tables.upsert(newest, path, ["user_id"], ["day"], ["event_time", "event_id"])
     return tables.read_table(p.spark, path)
 
 
@@ -50,7 +50,7 @@ def upsert_newest_wins(p):
     """The newer copies arrive first; the older ones that follow must not replace them."""
     path = work_path(p.spark, "raw")
     clean, _ = raw.split_quarantine(p.landing, RULES)
-    newest = raw.newest_events(clean).where(F.col("event_id") % 50 == 0)
+    newest = raw.newest_events(clean)
     tables.upsert(newest, path, ["event_id"], ["event_date"], ["server_received_at"])
     originals, _ = raw.split_quarantine(p.as_landing(p.events), RULES)
     tables.upsert(originals, path, ["event_id"], ["event_date"], ["server_received_at"])
@@ -122,6 +122,16 @@ def compact(p):
     return stored.groupBy("day").agg(F.countDistinct("file").alias("files"), rows_as("n"))
 
 
+@query("k10_target_file_size", "day:s oversized:i n:i", "SELECT day, 0 AS oversized, count(*) AS n FROM ev GROUP BY 1")
+def target_file_size(p):
+    """Written for small files on purpose; counts the rows that sit in a file larger than a megabyte."""
+    path = work_path(p.spark, "sized")
+    tables.write_sized(ev(p).select("event_id", "day", "props"), path, ["day"], target_bytes=64 << 10)
+    stored = tables.read_table(p.spark, path)
+    return stored.groupBy("day").agg(F.count_if(F.col("_metadata.file_size") > 1 << 20).alias("oversized"),
+                                     rows_as("n"))
+
+
 @query("k11_sorted_layout", "event_date:s unsorted:i n:i",
        "SELECT event_date, 0 AS unsorted, count(*) AS n FROM raw GROUP BY 1")
 def sorted_layout(p):
@@ -198,11 +208,11 @@ def store_sessions(p):
 
 @query("fx3_changed_days", "session_start_date:s",
        """SELECT DISTINCT d.session_start_date FROM fact_sessions d
-          WHERE session_id IN (SELECT session_id FROM raw WHERE event_id % 997 = 0)""")
+          WHERE session_id IN (SELECT session_id FROM raw WHERE position_ms > 3000000)""")
 def changed_days(p):
     """Days to roll up again after some events arrived: sessions that changed, by their day before and after."""
     p = p.stored("fact_events")
     build = facts.build_fact_sessions
-    touched = p.fact_events.where("event_id % 997 = 0").select("session_id").distinct()
+    touched = p.fact_events.where("position_ms > 3000000").select("session_id").distinct()
     before = build(p.fact_events.join(touched, "session_id", "left_anti"), p.dim_title, ROLES)
     return facts.changed_days(before, build(p.fact_events, p.dim_title, ROLES))

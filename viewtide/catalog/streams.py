@@ -91,20 +91,18 @@ def drop_future(p):
 @query("st7_session_stream", "session_id:s session_start_date:s watch_duration_seconds:i completion_pct:d "
        "pause_count:i seek_count:i was_completed:s", "SELECT * FROM fact_sessions")
 def session_stream(p):
-    """Raw events in two uneven files, streamed one file per micro-batch; the fact equals the batch build."""
+    """Raw events arrive in two deliveries by type, each streamed as it lands; the fact equals the batch build."""
     wire, root, log = (work_path(p.spark, n) for n in ("wire", "session-zone", "session-log"))
-    rows = p.raw
-    for part in (0, 1):
-        piece = rows.where(F.col("event_id") % 3 == 0) if part else rows.where(F.col("event_id") % 3 != 0)
-        piece.coalesce(1).write.mode("append").parquet(wire)
-    source = p.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(wire)
-    titles = p.dim_title
+    rows, titles = p.raw, p.dim_title
 
     def update(batch: DataFrame) -> None:
         stream_sessions.update_sessions(batch, f"{root}/raw", f"{root}/quarantine", f"{root}/sessions",
                                         lambda e: resolve_keys(e, p.star), titles, RULES, ROLES, ("event_date",))
 
-    stream_landing.drain(stream_sessions.session_stream(source, log, update))
+    for delivery in ("event_type in ('view', 'click')", "event_type not in ('view', 'click')"):
+        rows.where(delivery).write.mode("append").parquet(wire)
+        source = p.spark.readStream.schema(rows.schema).parquet(wire)
+        stream_landing.drain(stream_sessions.session_stream(source, log, update))
     return tables.read_table(p.spark, f"{root}/sessions")
 
 

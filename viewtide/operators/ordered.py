@@ -171,13 +171,14 @@ class Ordered:
             local[_LAST] = F.lead(F.lit(1)).over(w).isNull()
         detail = self.frame.withColumns(local)
 
-        # One row per chunk of a hot key; ordinary keys (chunk -1) need no carry.
+        # One row per chunk of a hot key, MAX_CHUNKS + MAX_HOT_KEYS at most, so it is broadcast and the detail keeps its
+        # partitioning for the next scan. Ordinary keys (chunk -1) need no carry.
         sums = (self.frame.where(F.col(_CHUNK) >= 0).groupBy(*group)
                 .agg(*[s.summary(list(self.order)).alias(f"__s_{n}") for n, s in scans.items()]))
         over = Window.partitionBy(*self.keys).orderBy(_CHUNK)
         carries = sums.select(*group, *[s.carry(F.col(f"__s_{n}"), over).alias(f"__c_{n}") for n, s in scans.items()])
 
-        joined = null_safe_join(detail, carries, group, "left")
+        joined = null_safe_join(detail, F.broadcast(carries), group, "left")
         out: dict[str, Column] = {}
         for n, s in scans.items():
             value, carried = F.col(n), F.col(f"__c_{n}")

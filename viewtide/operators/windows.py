@@ -27,10 +27,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """Newest row per composite key; ties by a hash of the whole row, then by the row itself."""
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    marked = df.withColumns({"__tie": tie, "__row": F.to_json(F.struct(*df.columns))})
-    return latest_per_key(marked, keys, [ts, "__tie", "__row"]).drop("__tie", "__row")
+    """Newest row per composite key; ties by a hash of the whole row."""
+    marked = df.withColumn("__tie", F.xxhash64(*[F.col(c) for c in df.columns]))
+    return latest_per_key(marked, keys, [ts, "__tie"]).drop("__tie")
 
 
 def next_value(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, out: str,

@@ -28,12 +28,9 @@ _PLAN = "_READY"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _writer(df: DataFrame, parts: Sequence[str], max_records: int | None = None) -> DataFrameWriter:
+def _writer(df: DataFrame, parts: Sequence[str]) -> DataFrameWriter:
     """Parquet writer whose rows were gathered per partition value, split by size (AQE's REBALANCE splits hot ones)."""
-    if parts:
-        df = df.hint("rebalance", *parts)
-    out = df.write.option("maxRecordsPerFile", max_records or 0)
-    return out.partitionBy(*parts) if parts else out
+    return df.hint("rebalance", *parts).write.partitionBy(*parts) if parts else df.write
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -85,6 +82,18 @@ def replace_table(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
     files.delete(old)
 
 
+def write_sized(df: DataFrame, path: str, parts: Sequence[str] = (),
+                target_bytes: int = schema.TARGET_FILE_BYTES) -> None:
+    """Write tasks of about ``target_bytes`` of shuffled rows: the rebalance merges small and splits large ones."""
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = conf.get(key)
+    conf.set(key, str(target_bytes))
+    try:
+        (_writer(df, parts) if parts else df.hint("rebalance").write).parquet(path)
+    finally:
+        conf.set(key, before)
+
+
 def append(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
     _writer(df, parts).mode("append").parquet(path)
 

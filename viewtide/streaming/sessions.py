@@ -52,7 +52,11 @@ def session_stream(stream: DataFrame, checkpoint: str, update: Callable[[DataFra
                    drain: bool = True, seconds: int = 60) -> StreamingQuery:
     """Run ``update`` on every micro-batch. The tables hold the state; the checkpoint holds the offsets."""
     def step(batch: DataFrame, _: int) -> None:
-        update(batch)
+        batch.persist()  # read several times; lost blocks are recomputed from the source
+        try:
+            update(batch)
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=f"{seconds} seconds")
