@@ -403,13 +403,13 @@ def batch_thresholds(landing_marked: DataFrame, deduplicated: DataFrame, require
     return dup.unionByName(bad).unionByName(whole)
 
 
-def volume_anomalies(events: DataFrame, ts_col: str, tolerance: float = 0.5, weeks: int = 7) -> DataFrame:
+def volume_anomalies(events: DataFrame, ts_col: str, tolerance: float = 0.5, days: int = 7) -> DataFrame:
     """Hours whose row count differs by more than the tolerance from the mean of the same hour on the days before.
 
     The counts shrink to one row per hour first; the comparison is a join of those rows with the earlier days.
     """
     hours = events.groupBy(F.date_trunc("hour", ts_col).alias("hour_start")).agg(_n().alias("rows"))
-    earlier = hours.select(F.explode(F.sequence(F.lit(1), F.lit(weeks))).alias("d"), "hour_start", "rows").select(
+    earlier = hours.select(F.explode(F.sequence(F.lit(1), F.lit(days))).alias("d"), "hour_start", "rows").select(
         (F.col("hour_start") + F.make_dt_interval(days=F.col("d"))).alias("hour_start"),
         F.col("rows").alias("earlier_rows"))
     base = earlier.groupBy("hour_start").agg(F.avg("earlier_rows").alias("baseline"))
