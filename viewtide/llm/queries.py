@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import simhash
+from viewtide.llm import bpe, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,3 +29,13 @@ def query(name: str, sql: str | None = None):
 @query("op1_simhash_trie")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.groups(table(spark, folder, "documents"))
+
+
+@query("op5_quality_qda")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op8_bpe_speculative")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.token_digests(table(spark, folder, "documents"))
