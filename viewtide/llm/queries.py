@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import bpe, quality, simhash
+from viewtide.llm import bpe, mixing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,3 +39,13 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_bpe_speculative")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(table(spark, folder, "documents"))
+
+
+@query("op9_mix_temperature")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(table(spark, folder, "documents"))
+
+
+@query("op10_toxicity_grammar")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -232,21 +232,30 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
+def fingerprint_groups(narrow: DataFrame) -> DataFrame:
+    """``fp``, ``root`` (smallest fingerprint of its group) and ``first`` (smallest ``doc_id`` of the fingerprint's rows)."""
+    per_fp = store(narrow.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    comp = components(fingerprint_links(per_fp.select("fp")))
+    return (per_fp.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
+            .select("fp", F.coalesce("root", "fp").alias("root"), "first"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id``, ``fp`` (signed), ``root`` (smallest fingerprint of its group)."""
-    narrow = store(docs.select(F.col(id_col).alias("doc_id"), row_hash(docs).alias("row"),
-                               fingerprints(F.col(text_col)).alias("fp")), "fingerprints")
-    fps = narrow.select("fp").distinct()
-    comp = components(fingerprint_links(fps))
-    return (narrow.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
-            .select("doc_id", "row", "fp", F.coalesce("root", "fp").alias("root")))
+    """``doc_id``, ``row`` (hash) and ``fp`` (signed) of every document, stored."""
+    return store(docs.select(F.col(id_col).alias("doc_id"), row_hash(docs).alias("row"),
+                             fingerprints(F.col(text_col)).alias("fp")), "fingerprints")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id of the group) for every document."""
-    rows = near_duplicates(docs, id_col, text_col)
-    smallest = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(smallest, "root").select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id of the group) for every document.
+
+    The group of a fingerprint is found on distinct fingerprints; documents meet it in one join, which Spark may split.
+    """
+    narrow = near_duplicates(docs, id_col, text_col)
+    per_fp = fingerprint_groups(narrow)
+    smallest = per_fp.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = per_fp.join(smallest, "root").select("fp", "component_id")
+    return narrow.join(named, "fp").select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -255,7 +264,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Winners are chosen on narrow rows; the texts are shuffled once, for the semi-join. Of rows equal in every column one
     stays.
     """
-    rows = near_duplicates(docs, id_col, text_col)
+    narrow = near_duplicates(docs, id_col, text_col)
+    rows = narrow.join(fingerprint_groups(narrow).select("fp", "root"), "fp")
     first = (rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("w"))
              .select(F.col("w.doc_id").alias("w_id"), F.col("w.row").alias("w_row")))
     row, n = fresh(docs, "__row"), fresh(docs, "__n")
