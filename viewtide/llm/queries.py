@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import bpe, mixing, quality, simhash, toxicity
+from viewtide.llm import bpe, mixing, quality, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,3 +49,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_toxicity_grammar")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op6_shard_kdtree")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.sharded(table(spark, folder, "documents"))
