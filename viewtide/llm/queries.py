@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import bpe, mixing, quality, sharding, simhash, toxicity
+from viewtide.llm import bpe, lsh_forest, mixing, pivot_search, quality, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,3 +54,13 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_shard_kdtree")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"))
+
+
+@query("op2_ann_lsh_forest")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return lsh_forest.nearest(table(spark, folder, "embeddings"))
+
+
+@query("op3_topk_pivot")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_search.top_products(table(spark, folder, "embeddings"))
