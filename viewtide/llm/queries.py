@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import bpe, lsh_forest, mixing, pivot_search, quality, sharding, simhash, toxicity
+from viewtide.llm import (bpe, language, lsh_forest, mixing, pivot_search, quality, sharding, simhash, toxicity,
+                          urls)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +65,13 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_topk_pivot")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return pivot_search.top_products(table(spark, folder, "embeddings"))
+
+
+@query("op4_url_link_graph", urls.ORACLE_SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judged(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op7_language_centroids")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages(table(spark, folder, "documents"))
