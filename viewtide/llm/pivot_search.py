@@ -128,10 +128,12 @@ def top_products(table: DataFrame, k: int = 20, step: int = 20, id_col: str = "v
     distinct = store(distinct_vectors(whole, k + 1), "vectors")
     size = distinct.agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).first()
     n, square = size.n, size.m or 0.0
+    if not n:
+        return distinct.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     picked = distinct.orderBy(F.xxhash64("v"), "v").limit(SAMPLE_ROWS).collect()
-    sample = np.array([r.v for r in picked], np.float64).reshape(len(picked), -1)
+    sample = np.array([r.v for r in picked], np.float64)
     top = float(np.sqrt(square)) * (1 + 1e-12)
-    pivots = choose_pivots(lifted(sample, top)) if len(picked) else np.zeros((0, 1))
+    pivots = choose_pivots(lifted(sample, top))
 
     @F.pandas_udf(KEY)
     def key(v: pd.Series) -> pd.DataFrame:
