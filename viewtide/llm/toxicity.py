@@ -157,7 +157,7 @@ def fit_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lim
     chosen = (y.where(fold(F.col("y_id"), FOLDS) != 0).where("y_id is not null").distinct()
               .orderBy(F.xxhash64("y_id"), "y_id", "y").limit(limit))
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("t is not null")
-    return rows.join(chosen, F.col("i") == F.col("y_id")).select("t", "y")
+    return rows.join(F.broadcast(chosen), F.col("i") == F.col("y_id")).select("t", "y")  # limit rows of two numbers
 
 
 def learn_stems(rows: DataFrame) -> tuple[list[str], float]:
