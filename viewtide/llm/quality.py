@@ -30,6 +30,7 @@ from viewtide.llm.common import fold, fresh, store
 POOL = 0.1         # shrinkage of a class covariance towards the pooled one
 RIDGE = 0.02       # shrinkage towards the identity times the mean variance
 THRESHOLD = 0.3
+FIT_ROWS = 50_000  # labelled rows that the pipeline's stage fits on, at most, by hash of the id
 FOLDS = 5
 
 _END = re.compile(r"[.!?](?=\s|$)")
@@ -176,12 +177,15 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
               threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, with their columns.
 
-    Only labelled texts are read twice, once to fit and once to score; nothing but the labels is shuffled.
+    It is fitted on at most ``FIT_ROWS`` labelled rows; their ids are sent to all tasks, so no text is shuffled, and only
+    those texts are read twice.
     """
-    y = labels.select(F.col("doc_id").alias("y_id")).where("y_id is not null").distinct()
-    known = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t")).where(
-        fold(F.col(id_col), FOLDS) != 0).join(y, F.col("doc_id") == F.col("y_id"), "left_semi")
-    stats = known.select("doc_id", statistics_of(F.col("t")).alias("x"))
+    chosen = (labels.select(F.col("doc_id").alias("y_id"), F.col("quality").cast("int").alias("y"))
+              .where("y in (0, 1) and y_id is not null").where(fold(F.col("y_id"), FOLDS) != 0).select("y_id").distinct()
+              .orderBy(F.xxhash64("y_id"), "y_id").limit(FIT_ROWS))
+    known = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t")).join(
+        F.broadcast(chosen), F.col("doc_id") == F.col("y_id"), "left_semi")
+    stats = store(known.select("doc_id", statistics_of(F.col("t")).alias("x")), "statistics")
     model = fit(learned(stats, labels))
     x, s = fresh(docs, "__x"), fresh(docs, "__score")
     out = scored(docs.withColumn(x, statistics_of(F.col(text_col))), model, x, s)
