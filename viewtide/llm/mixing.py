@@ -14,17 +14,18 @@ the table of sources and a generator, without moving texts.
 
 Defined results: a null source is a source of its own; a null or empty text has no tokens and is in every full pass; a source
 without tokens is passed over once; repeated rows are permuted together and all stay; an empty table gives an empty
-result; added columns take fresh names where the input has them.
+result; other columns may have any names.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewtide.llm.common import forget, fresh, row_hash, store
+from viewtide.llm.common import forget, row_hash, store
 
 MAX_REPEATS = 1.5
 BLOCK_ROWS = 4096
@@ -64,7 +65,7 @@ def exponent(sources: DataFrame, targets: Targets) -> float:
             z, s, spread = row[1 + 3 * i:4 + 3 * i]
             if z is None:
                 return [True] * len(points)
-            entropy = _log(z) - s / z
+            entropy = math.log(z) - s / z
             out.append((targets.entropy is None or entropy <= targets.entropy * row["most"] + 1e-12)
                        and (targets.repeats is None or spread <= targets.repeats * (1 + 1e-12)))
         return out
@@ -79,12 +80,6 @@ def exponent(sources: DataFrame, targets: Targets) -> float:
     return high
 
 
-def _log(x: float) -> float:
-    import math
-
-    return math.log(x)
-
-
 def permuted(row: Column, epoch: Column) -> Column:
     """Place of a row in the permutation of a pass, of ``UNITS`` places."""
     return F.shiftrightunsigned(F.xxhash64(row, epoch, F.lit(SEED)), 11)
@@ -164,8 +159,7 @@ def mixture(docs: DataFrame, targets: Targets = Targets(), source_col: str = "so
 
 def mixed(docs: DataFrame, targets: Targets = Targets(), source_col: str = "source", text_col: str = "text") -> DataFrame:
     """``docs`` with its columns, each row as often as the mixture takes it."""
-    narrow = narrow_rows(docs, source_col, text_col, docs.columns[0])
-    sources = plan(narrow, targets)
-    row, epoch = fresh(docs, "__row"), fresh(docs, "__epoch")
-    wide = docs.select(*[F.col(f"`{c}`") for c in docs.columns], row_hash(docs).alias(row))
-    return passes_of(wide, sources, row, source_col, epoch).select(*[F.col(f"`{c}`") for c in docs.columns])
+    sources = plan(narrow_rows(docs, source_col, text_col, source_col), targets)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                         F.col(source_col).alias("source"), row_hash(docs).alias("row"))
+    return passes_of(packed, sources, "row", "source", "epoch").select("doc.*")

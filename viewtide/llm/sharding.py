@@ -11,8 +11,8 @@ pass, combined before the shuffle) give the bucket that holds the median, and th
 What reaches the driver is one row for each node and pass, at most the number of shards. All work is DataFrame
 expressions.
 
-Defined results: size is the UTF-8 bytes of the text plus 16, a null text has no bytes and is a group of its own with the empty
-text's checksum; null metadata is the lowest coordinate; repeated rows stay, each with its own slot; an empty table gives an
+Defined results: size is the UTF-8 bytes of the text plus 16, a null text counts as an
+empty one; null metadata is the lowest coordinate; repeated rows stay, each with its own slot; an empty table gives an
 empty result; other columns are not looked at. With fewer items than shards some shards are empty.
 """
 
@@ -42,7 +42,7 @@ def text_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source
     rows = docs.select(
         F.col(id_col).alias("doc_id"), size_of(text).alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        F.when(text.isNull(), F.lit(None)).otherwise(F.xxhash64(text)).alias("group_hash"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("group_hash"),
         F.crc32(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).cast("binary")).alias("lang_code"),
         F.crc32(F.coalesce(F.col(source_col).cast("string"), F.lit("")).cast("binary")).alias("source_code"))
     return store(rows, "shard-rows")
