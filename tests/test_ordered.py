@@ -54,6 +54,21 @@ def test_hot_key_is_spread(rows):
     assert len(sizes) >= 8 and max(sizes) < 300
 
 
+def test_one_key_in_a_small_file_is_split(spark, path):
+    """Six million rows of one key compress to a few megabytes and still need more than one task."""
+    spark.range(6_000_000).selectExpr("1 as k", "id as ts", "1 as v").write.parquet(path)
+    split = Ordered.split(spark.read.parquet(path), ["k"], ["ts"])
+    sizes = [r["count"] for r in split.frame.groupBy("__chunk").count().collect()]
+    assert len(sizes) >= 3 and max(sizes) < 4_000_000
+
+
+def test_every_hot_key_is_split(spark):
+    df = spark.range(60_000).selectExpr("id % 1500 as k", "id as ts", "cast(id as int) as id", "1 as v")
+    split = Ordered.split(df, ["k"], ORDER, hot_rows=20)
+    assert split.frame.where("__chunk >= 0").select("k").distinct().count() == 1500
+    assert as_set(split.scan(n=running_count()).df.select("id", "n")) == as_set(df.selectExpr("id", "id div 1500 + 1 as n"))
+
+
 def test_ties_of_one_instant_are_split(spark):
     """All rows of a key at one instant: the tie-break still splits them."""
     df = spark.range(2000).selectExpr("1 as k", "5L as ts", "cast(id as int) as id", "1 as v")

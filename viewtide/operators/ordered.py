@@ -1,10 +1,11 @@
 """Ordered scans that do not depend on one key fitting into one task.
 
-``Window.partitionBy(key)`` sends all rows of a key to one task. That is the right plan until a key holds a large part
-of the table. :class:`Ordered` keeps the plain window for ordinary keys and splits the hot ones into consecutive chunks
-of their ordering: the window then runs per ``(key, chunk)``, each chunk is summarised by one row, and the value carried
-over from the earlier chunks is joined back. The chunk limits are collected once, so every later pass over the data sees
-the same limits and a lost executor can recompute its share.
+``Window.partitionBy(key)`` sends all rows of a key to one task. That is the right plan until a key holds more rows than
+a task should take. :class:`Ordered` keeps the plain window for ordinary keys and splits every other one into consecutive
+chunks of its ordering: the window then runs per ``(key, chunk)``, each chunk is summarised by one row, and the value
+carried over from the earlier chunks is joined back. Rows are counted per key, whatever the input's size, and the chunk
+limits come from a sample that is ranked and written by Spark: every later pass over the data sees the same limits, and a
+lost executor can recompute its share. Neither the number of split keys nor of chunks is limited.
 
 With no key at all the same scan numbers or accumulates a whole table without the single task of ``Window.orderBy``.
 """
@@ -16,14 +17,11 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from viewtide.operators.joins import input_bytes, null_safe_join
+from viewtide.operators.joins import null_safe_join
+from viewtide.session import work_path
 
 HOT_ROWS = 2_000_000          # rows of one key that one task takes without splitting
-SMALL_INPUT_BYTES = 64 << 20  # an input below this cannot hold a group worth splitting
-MAX_HOT_KEYS = 1024           # keys split at most; any further key is smaller than 1/1024 of the table
-MAX_CHUNKS = 4096             # chunks over all hot keys; bounds the sample and the broadcast below
 SAMPLE_PER_CHUNK = 30
 
 _CHUNK = "__chunk"
@@ -98,15 +96,8 @@ def running_max(col: str) -> Scan:
     )
 
 
-def _none_first(value):
-    """Sort key with Spark's ascending order: NULL before every value, structs field by field."""
-    if isinstance(value, tuple):
-        return tuple(_none_first(v) for v in value)
-    return (0, 0) if value is None else (1, value)
-
-
 def _locate(limits: Column, value: Column) -> Column:
-    """How many of the ascending ``limits`` are <= ``value``, by bisection (MAX_CHUNKS < 2**13)."""
+    """How many of the ascending ``limits`` are <= ``value``, by bisection over up to 2**31 limits."""
     def step(acc: Column, _: Column) -> Column:
         mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
         right = F.get(limits, mid) <= value
@@ -115,7 +106,7 @@ def _locate(limits: Column, value: Column) -> Column:
                 .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi"))))
 
     start = F.struct(F.lit(0).alias("lo"), F.size(limits).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(13)), start, step, lambda acc: acc["lo"])
+    return F.aggregate(F.sequence(F.lit(1), (F.ceil(F.log2(F.size(limits) + 1)) + 1).cast("int")), start, step, lambda acc: acc["lo"])
 
 
 @dataclass(frozen=True)
@@ -133,13 +124,11 @@ class Ordered:
         """Find hot keys and chunk them.
 
         ``probe`` is a cheaper frame with the same key and order columns (for example the input before deduplication);
-        it only decides where to cut. ``hot_rows`` forces the search even for a small input.
+        it only decides where to cut. The limits that are sent to all tasks are one value for every ``hot_rows`` rows.
         """
         keys, order = tuple(keys), tuple(order)
         plain = cls(df, keys, order)
         probe = df if probe is None else probe
-        if hot_rows is None and input_bytes(probe) < SMALL_INPUT_BYTES:
-            return plain
         limits = _chunk_limits(probe.select(*keys, *[c for c in order if c not in keys]), keys, order,
                                hot_rows or HOT_ROWS)
         if limits is None:
@@ -171,8 +160,8 @@ class Ordered:
             local[_LAST] = F.lead(F.lit(1)).over(w).isNull()
         detail = self.frame.withColumns(local)
 
-        # One row per chunk of a hot key, MAX_CHUNKS + MAX_HOT_KEYS at most, so it is broadcast and the detail keeps its
-        # partitioning for the next scan. Ordinary keys (chunk -1) need no carry.
+        # One row for about every HOT_ROWS rows of the hot keys, so it is broadcast and the detail keeps its partitioning
+        # for the next scan. Ordinary keys (chunk -1) need no carry.
         sums = (self.frame.where(F.col(_CHUNK) >= 0).groupBy(*group)
                 .agg(*[s.summary(list(self.order)).alias(f"__s_{n}") for n, s in scans.items()]))
         over = Window.partitionBy(*self.keys).orderBy(_CHUNK)
@@ -198,34 +187,24 @@ class Ordered:
 def _chunk_limits(probe: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], hot_rows: int) -> DataFrame | None:
     """One row per hot key with the ascending limits of its chunks, or None when no key is hot.
 
-    The driver receives at most MAX_HOT_KEYS counts and a sample of SAMPLE_PER_CHUNK * MAX_CHUNKS order values.
+    Counting, sampling and ranking run in Spark; a key's sample is ``SAMPLE_PER_CHUNK / hot_rows`` of its rows.
     """
     spark = probe.sparkSession
-    counts = probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
-    hot = counts.orderBy(F.desc("__n")).limit(MAX_HOT_KEYS).collect()
-    if not hot:
-        return None
-    rows = sum(r["__n"] for r in hot)
-    per_chunk = max(hot_rows, -(-rows // (MAX_CHUNKS - len(hot))))
-    fraction = min(1.0, SAMPLE_PER_CHUNK / per_chunk)
-    key_type = T.StructType([probe.schema[k] for k in keys])
-    hot_rows_only = probe
+    hot = (probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
+           .select(*keys, F.lit(1).alias("__hot")))
+    value = F.struct(*order).alias("__v")
     if keys:
-        hot_keys = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], key_type)
-        hot_rows_only = null_safe_join(probe, F.broadcast(hot_keys), keys, "left_semi")
-    order_type = probe.select(F.struct(*order).alias("v")).schema["v"].dataType
-    sample = hot_rows_only.select(F.struct(*keys).alias("k") if keys else F.lit(0).alias("k"),
-                                  F.struct(*order).alias("v")).sample(fraction, seed=7)
-    values: dict = {}
-    for row in sample.collect():
-        values.setdefault(tuple(row["k"]) if keys else (), []).append(row["v"])
-    table = []
-    for r in hot:
-        key = tuple(r[k] for k in keys)
-        seen = sorted(values.get(key, []), key=_none_first)
-        n_chunks = -(-r["__n"] // per_chunk)
-        picks = [seen[i * len(seen) // n_chunks] for i in range(1, n_chunks)] if seen else []
-        limits = [v for i, v in enumerate(picks) if i == 0 or v != picks[i - 1]]
-        table.append((*key, limits))
-    limit_type = T.StructType([*key_type.fields, T.StructField("__limits", T.ArrayType(order_type))])
-    return spark.createDataFrame(table, limit_type)
+        rows = null_safe_join(probe, hot, keys, "left_semi")
+    else:  # one row that says whether the table as a whole is hot
+        rows = null_safe_join(probe.withColumn(_ONE, F.lit(1)), hot.withColumnRenamed("__hot", _ONE), [_ONE], "left_semi")
+    group = list(keys) or [_ONE]
+    picked = (rows if keys else rows.withColumn(_ONE, F.lit(1))).where(
+        F.rand(7) < min(1.0, SAMPLE_PER_CHUNK / hot_rows)).select(*group, value)
+    ranked = picked.withColumn("__r", F.row_number().over(Window.partitionBy(*group).orderBy("__v")))
+    step = min(SAMPLE_PER_CHUNK, hot_rows)
+    limits = (ranked.where(F.col("__r") % step == 0).groupBy(*group)
+              .agg(F.array_sort(F.collect_set("__v")).alias("__limits")))
+    path = work_path(spark, "limits")
+    limits.select(*keys, "__limits").write.parquet(path)
+    stored = spark.read.schema(limits.select(*keys, "__limits").schema).parquet(path)
+    return stored if stored.take(1) else None
