@@ -165,8 +165,12 @@ def test_tolerant_reader(spark, tmp_path):
     with gzip.open(folder / "good.json.gz", "wt") as f:
         f.write('{"a": "1"}\n{"a": \n')
     (folder / "bad.json.gz").write_bytes(b"this is no gzip file")
+    whole = gzip.compress(b"".join(b'{"a": "%d"}\n' % i for i in range(50_000)))
+    (folder / "cut.json.gz").write_bytes(whole[:len(whole) // 2])
     good, corrupt = readers.read_tolerant(spark, str(folder), "a string")
     assert [r["a"] for r in good.collect()] == ["1"] and corrupt.count() == 1
+    broken = {r["file_path"].rsplit("/", 1)[1]: r for r in readers.corrupt_files(spark, str(folder)).collect()}
+    assert sorted(broken) == ["bad.json.gz", "cut.json.gz"] and 0 < broken["cut.json.gz"]["rows_read"] < 50_000
 
 
 def test_interval_reader_prunes_partitions(spark, path):
@@ -178,3 +182,77 @@ def test_interval_reader_prunes_partitions(spark, path):
     assert out.count() == 4
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+@pytest.mark.parametrize("parts", [(), ("part",)])
+def test_crash_at_each_step_then_retry(spark, path, monkeypatch, parts):
+    """The writer dies before its n-th change of the file system, for every n; an append and the retried batch follow."""
+    real = {m: getattr(Files, m) for m in ("rename", "delete", "write_text")}
+    step = 0
+    while True:
+        step += 1
+        target, count = f"{path}-{step}", 0
+        put(frame(spark, (1, 1, 0, 1, "a"), (2, 2, 0, 1, "a"), (3, 3, 0, 1, "a")), target, parts)
+
+        def guarded(name):
+            def call(self, *args):
+                nonlocal count
+                count += 1
+                if count == step:
+                    raise OSError("driver lost")
+                return real[name](self, *args)
+            return call
+
+        for m in real:
+            monkeypatch.setattr(Files, m, guarded(m))
+        batch = frame(spark, (1, 2, 0, 2, "b"), (4, 4, 0, 1, "n"))
+        try:
+            put(batch, target, parts)
+            died = False
+        except OSError:
+            died = True
+        for m, f in real.items():
+            monkeypatch.setattr(Files, m, f)
+        tables.append(frame(spark, (9, 3, 0, 1, "z")), target, parts)
+        put(batch, target, parts)
+        assert content(spark, target) == [(1, 2, 2, "b"), (2, 2, 1, "a"), (3, 3, 1, "a"), (4, 4, 1, "n"), (9, 3, 1, "z")], step
+        if not died:
+            break
+    assert step > 3
+
+
+def test_escaped_and_empty_partition_values(spark, path):
+    def rows(*data):
+        return spark.createDataFrame(list(data), "id int, part string, ver int, val string")
+
+    tables.upsert(rows((1, "a:b", 1, "x"), (2, "", 1, "x"), (3, "c/d=e %", 1, "x")), path, ["id"], ["part"], ["ver"])
+    tables.upsert(rows((1, "c", 2, "y"), (2, "c", 2, "y"), (3, "c", 2, "y")), path, ["id"], ["part"], ["ver"])
+    got = sorted((r["id"], r["part"]) for r in tables.read_table(spark, path).collect())
+    assert got == [(1, "c"), (2, "c"), (3, "c")]
+
+
+def test_replace_table_survives_a_crash(spark, path, monkeypatch):
+    tables.replace_table(frame(spark, (1, 1, 0, 1, "a"), (2, 2, 0, 1, "a")), path, ["part"])
+    monkeypatch.setattr(Files, "rename", lambda *a: (_ for _ in ()).throw(OSError("driver lost")))
+    with pytest.raises(OSError):
+        tables.replace_table(frame(spark, (5, 2, 0, 1, "n")), path, ["part"])
+    monkeypatch.undo()
+    tables.append(frame(spark, (6, 6, 0, 1, "z")), path, ["part"])
+    assert content(spark, path) == [(5, 2, 1, "n"), (6, 6, 1, "z")]
+
+
+def test_compaction_keeps_the_sort(spark, path):
+    wide = spark.range(20000).selectExpr("cast(id % 500 as int) as s", "sha2(cast(id as string), 256) as h", "1 as part")
+    for _ in range(3):
+        tables.append(tables.sorted_layout(wide, ["part"], ["s"]), path, ["part"])
+    size = sum(sum(v) for v in Files(spark, path).leaves(path).values())
+    assert tables.compact(spark, path, ["part"], target_bytes=size // 2 + 1000, sort=["s"])["partitions"] == 1
+    spans = tables.read_table(spark, path).groupBy(F.col("_metadata.file_path")).agg(
+        F.min("s").alias("lo"), F.max("s").alias("hi")).orderBy("lo").collect()
+    assert len(spans) >= 2 and all(a.hi <= b.lo for a, b in zip(spans, spans[1:]))
+
+
+def test_compact_without_partitions(spark, path):
+    for i in range(3):
+        tables.append(frame(spark, (i, 1, 0, 1, "a")), path)
+    assert tables.compact(spark, path, [])["files_after"] == 1 and len(content(spark, path)) == 3

@@ -2,8 +2,9 @@
 
 A change is written to a staging directory inside the table (its name starts with ``_``, so readers skip it) together
 with a small plan file that lists the partitions to swap and to drop. Only then are directories renamed. If the driver
-dies in between, :func:`roll_forward` finishes the listed swaps; staging without a plan file is discarded. Tables have a
-single writer.
+dies in between, :func:`roll_forward` finishes the listed swaps; staging without a plan file is discarded. Every change
+rolls forward first, so nothing is ever built on a half-swapped table. A table without partitions is swapped file by file
+under the same plan. Tables have a single writer.
 """
 
 from __future__ import annotations
@@ -64,22 +65,29 @@ def _swap(files: Files, path: str, stage: str) -> None:
     files.delete(stage)
 
 
-def _publish(files: Files, path: str, stage: str, affected: Iterable[str]) -> None:
-    written = sorted(files.leaves(f"{stage}/data"))
+def _publish(files: Files, path: str, stage: str, affected: Iterable[str], whole: bool = False) -> None:
+    """Swap in what was staged. ``affected`` names directories that end up empty unless staged; ``whole`` replaces all."""
+    if whole:  # entries at the top, whatever the layout before and after
+        written = _entries(files, f"{stage}/data")
+        affected = _entries(files, path)
+    else:
+        written = sorted(files.leaves(f"{stage}/data"))
     gone = sorted(set(affected) - set(written))
     files.write_text(f"{stage}/{_PLAN}", json.dumps({"move": written, "drop": gone}))
     _swap(files, path, stage)
 
 
+def _entries(files: Files, path: str) -> list[str]:
+    return sorted(name for name, _, _ in files.children(path) if not name.startswith(("_", ".")))
+
+
 def replace_table(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
     """Create or replace the whole table; the old one may be read by ``df``."""
     files = Files(df.sparkSession, path)
-    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    _writer(df, parts).parquet(fresh)
-    if files.exists(path):
-        files.rename(path, old)
-    files.rename(fresh, path)
-    files.delete(old)
+    roll_forward(df.sparkSession, path)
+    stage = f"{path}/_stage-{uuid.uuid4().hex}"
+    _writer(df, parts).parquet(f"{stage}/data")
+    _publish(files, path, stage, [], whole=True)
 
 
 def write_sized(df: DataFrame, path: str, parts: Sequence[str] = (),
@@ -95,12 +103,20 @@ def write_sized(df: DataFrame, path: str, parts: Sequence[str] = (),
 
 
 def append(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
+    roll_forward(df.sparkSession, path)
     _writer(df, parts).mode("append").parquet(path)
 
 
-def _relative(parts: Sequence[str], values: Sequence[object]) -> str:
-    names = [f"{p}={_NULL_PARTITION if v is None else v}" for p, v in zip(parts, values)]
-    return "/".join(names)
+def _relative(spark: SparkSession, parts: Sequence[str], values: Sequence[object]) -> str:
+    """The directory Spark writes for these partition values."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+
+    def name(value: object) -> str:
+        if value is None or value == "":
+            return _NULL_PARTITION
+        return escape(str(value).lower() if isinstance(value, bool) else str(value))
+
+    return "/".join(f"{escape(p)}={name(v)}" for p, v in zip(parts, values))
 
 
 def _in_partitions(df: DataFrame, parts: Sequence[str], rows: Sequence[Sequence[object]]) -> DataFrame:
@@ -115,9 +131,13 @@ def _in_partitions(df: DataFrame, parts: Sequence[str], rows: Sequence[Sequence[
     return null_safe_join(out, F.broadcast(df.sparkSession.createDataFrame(list(rows), fields)), parts, "left_semi")
 
 
+def _age(order: Sequence[str]) -> Column:
+    return F.struct(*order) if order else F.lit(0)
+
+
 def upsert(batch: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str], order: Sequence[str],
            scope: Column | None = None) -> None:
-    """Insert or update by key; the newer row by ``order`` survives, the incoming one on a tie.
+    """Insert or update by key; the newer row by ``order`` survives, the incoming one on a tie or without an ``order``.
 
     Only partitions that hold an incoming key or receive one are rewritten. ``scope`` bounds where in the target an
     incoming key can live (for example the lateness bound on the date partition) and prunes the key lookup. Rows of
@@ -132,7 +152,7 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str
     newest = latest_per_key(batch.withColumn("__tie", tie), keys, [*order, "__tie"]).drop("__tie")
     if not table_exists(spark, path):
         _writer(newest, parts).parquet(f"{stage}/data")
-        _publish(files, path, stage, [])
+        _publish(files, path, stage, [], whole=not parts)
         return
 
     # Written once: the batch is read several times below and must not change between the reads.
@@ -142,11 +162,16 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str
     target = spark.read.schema(incoming.schema).parquet(path)
     lookup = target if scope is None else target.where(scope)
     holding = null_safe_join(lookup.select(*keys, *parts), incoming.select(*keys), keys, "left_semi").select(*parts)
-    affected = [tuple(r) for r in holding.unionByName(incoming.select(*parts)).distinct().collect()]  # partitions
-    old = _in_partitions(target, parts, affected) if parts else target
+    # Partitions; an empty text is stored as NULL.
+    affected = {tuple(None if v == "" else v for v in r)
+                for r in holding.unionByName(incoming.select(*parts)).distinct().collect()} if parts else set()
+    if parts and not affected:
+        files.delete(stage)
+        return
+    old = _in_partitions(target, parts, sorted(affected, key=str)) if parts else target
 
     def rival(side: DataFrame) -> DataFrame:
-        return side.select(*keys, F.struct(*order).alias("__rival"))
+        return side.select(*keys, _age(order).alias("__rival"))
 
     on = [f"__r_{k}" for k in keys]
 
@@ -155,11 +180,11 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str
         cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, on)])
         return mine.join(other, cond & beaten, "left_anti")
 
-    mine = F.struct(*order)
+    mine = _age(order)
     merged = (survivors(old, incoming, F.col("__rival") >= mine)
               .unionByName(survivors(incoming, old, F.col("__rival") > mine)))
     _writer(merged, parts).parquet(f"{stage}/data")
-    _publish(files, path, stage, [_relative(parts, r) for r in affected] if parts else [])
+    _publish(files, path, stage, [_relative(spark, parts, r) for r in affected], whole=not parts)
 
 
 def replace_partitions(df: DataFrame, path: str, part: str, values: Sequence[object]) -> None:
@@ -170,7 +195,7 @@ def replace_partitions(df: DataFrame, path: str, part: str, values: Sequence[obj
     stage = f"{path}/_stage-{uuid.uuid4().hex}"
     wanted = _in_partitions(df, [part], [(v,) for v in values])
     _writer(wanted, [part]).parquet(f"{stage}/data")
-    _publish(files, path, stage, [_relative([part], (v,)) for v in values])
+    _publish(files, path, stage, [_relative(spark, [part], (v,)) for v in values])
 
 
 def partition_dates(spark: SparkSession, path: str, part: str) -> list[date]:
@@ -182,6 +207,7 @@ def partition_dates(spark: SparkSession, path: str, part: str) -> list[date]:
 def prune(spark: SparkSession, path: str, part: str, keep_days: int, as_of: date) -> list[date]:
     """Drop date partitions older than ``as_of - keep_days``; returns the dropped days."""
     files = Files(spark, path)
+    roll_forward(spark, path)
     cutoff = as_of - timedelta(days=keep_days)
     old = [d for d in partition_dates(spark, path, part) if d < cutoff]
     for d in old:
@@ -189,11 +215,12 @@ def prune(spark: SparkSession, path: str, part: str, keep_days: int, as_of: date
     return old
 
 
-def compact(spark: SparkSession, path: str, parts: Sequence[str],
-            target_bytes: int = schema.TARGET_FILE_BYTES) -> dict[str, int]:
+def compact(spark: SparkSession, path: str, parts: Sequence[str], target_bytes: int = schema.TARGET_FILE_BYTES,
+            sort: Sequence[str] = ()) -> dict[str, int]:
     """Rewrite partitions that have more files than their size needs; refuses to publish if the row count changes.
 
-    One job for all candidates: each partition's rows are spread over ``ceil(bytes / target)`` slots.
+    One job for all candidates: each partition's rows are spread over ``ceil(bytes / target)`` slots, by a hash of the row
+    or, with ``sort``, by ranges of the sort columns, sorted inside, so that files stay as narrow as they were written.
     """
     files = Files(spark, path)
     roll_forward(spark, path)
@@ -206,26 +233,28 @@ def compact(spark: SparkSession, path: str, parts: Sequence[str],
     stage = f"{path}/_stage-{uuid.uuid4().hex}"
     base = spark.read.option("basePath", path)
     rows = base.parquet(*[f"{path}/{rel}" if rel else path for rel in todo])
-    # The slot table has one row per rewritten partition directory.
-    sizes = spark.createDataFrame(list(todo.items()), "rel string, slots int")
-    where = F.concat_ws("/", *[F.concat(F.lit(f"{p}="), F.coalesce(F.col(p).cast("string"), F.lit(_NULL_PARTITION)))
-                               for p in parts]) if parts else F.lit("")
-    spread = (rows.withColumn("rel", where).join(F.broadcast(sizes), "rel")
-              .withColumn("__slot", F.pmod(F.xxhash64(*rows.columns), F.col("slots")))
-              .repartition(sum(todo.values()), "rel", "__slot").drop("rel", "slots", "__slot"))
+    if sort:
+        spread = rows.repartitionByRange(sum(todo.values()), *parts, *sort).sortWithinPartitions(*parts, *sort)
+    else:
+        # The slot table has one row per rewritten partition directory.
+        unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        values = [[None if v == _NULL_PARTITION else unescape(v) for v in
+                   (x.split("=", 1)[1] for x in rel.split("/") if rel)] for rel in todo]
+        names = [f"__p{i}" for i in range(len(parts))]
+        sizes = spark.createDataFrame([(*v, n) for v, n in zip(values, todo.values())],
+                                      T.StructType([*[T.StructField(n, T.StringType()) for n in names],
+                                                    T.StructField("__slots", T.IntegerType())]))
+        same = reduce(lambda a, b: a & b, [F.col(p).cast("string").eqNullSafe(F.col(n)) for p, n in zip(parts, names)],
+                      F.lit(True))
+        sized = rows.join(F.broadcast(sizes), same) if parts else rows.withColumn("__slots", F.lit(sum(todo.values())))
+        spread = (sized.withColumn("__slot", F.pmod(F.xxhash64(*rows.columns), F.col("__slots")))
+                  .repartitionByRange(sum(todo.values()), *parts, "__slot").drop("__slots", "__slot", *names))
     (spread.write.partitionBy(*parts) if parts else spread.write).parquet(f"{stage}/data")
     staged = spark.read.option("basePath", f"{stage}/data").parquet(f"{stage}/data").count()
     if staged != rows.count():
         files.delete(stage)
         raise RuntimeError("compaction changed the row count; nothing was published")
-    if parts:
-        _publish(files, path, stage, [])
-    else:
-        old = f"{path}.old-{uuid.uuid4().hex}"
-        files.rename(f"{stage}/data", f"{path}.new")
-        files.rename(path, old)
-        files.rename(f"{path}.new", path)
-        files.delete(old)
+    _publish(files, path, stage, [], whole=not parts)
     after = sum(len(s) for s in files.leaves(path).values())
     return {"files_before": before, "files_after": after, "partitions": len(todo)}
 
