@@ -160,5 +160,6 @@ def test_rolling_actives_brute_force(spark):
     data = {(rng.randrange(12), dt.date(2024, 1, 1) + dt.timedelta(days=rng.randrange(60))) for _ in range(150)}
     df = spark.createDataFrame([*data, *data], "u int, d date")
     got = {r["d"]: r["actives"] for r in windows.rolling_actives(df, "u", "d", 7).collect()}
-    days = {d for _, d in data}
+    first, last = min(d for _, d in data), max(d for _, d in data)
+    days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
     assert got == {d: len({u for u, x in data if d - dt.timedelta(days=7) < x <= d}) for d in days}

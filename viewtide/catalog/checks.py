@@ -303,10 +303,14 @@ def batch_thresholds(p):
 
 
 @query("q35_volume_anomalies", "hour_start:t rows:i baseline:d deviation:d",
-       """WITH h AS (SELECT date_trunc('hour', event_time) AS hour_start, count(*) AS n FROM ev GROUP BY 1)
-          SELECT * FROM (SELECT a.hour_start, a.n AS rows, avg(b.n) AS baseline, (a.n - avg(b.n)) / avg(b.n)
+       """WITH g AS (SELECT unnest(generate_series(date_trunc('hour', min(event_time)), date_trunc('hour', max(event_time)),
+                     INTERVAL 1 HOUR)) AS hour_start FROM ev),
+          h AS (SELECT g.hour_start, count(event_id) AS n FROM g LEFT JOIN ev
+                ON date_trunc('hour', event_time) = g.hour_start GROUP BY 1)
+          SELECT * FROM (SELECT a.hour_start, a.n AS rows, avg(b.n) AS baseline, (a.n - avg(b.n)) / nullif(avg(b.n), 0)
           AS deviation FROM h a JOIN h b ON b.hour_start < a.hour_start
-          AND b.hour_start >= a.hour_start - INTERVAL 7 DAY AND hour(a.hour_start) = hour(b.hour_start)
+          AND b.hour_start >= a.hour_start - INTERVAL 28 DAY AND hour(a.hour_start) = hour(b.hour_start)
+          AND dayofweek(a.hour_start) = dayofweek(b.hour_start)
           GROUP BY 1, 2) WHERE abs(deviation) > 0.5""")
 def volume_anomalies(p):
     return quality.volume_anomalies(p.events.selectExpr("cast(ts as timestamp) as t"), "t")

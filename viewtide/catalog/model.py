@@ -523,13 +523,14 @@ def dim_genre(p):
 
 
 @query("dm7_dim_time_of_day", "time_of_day_key:i daypart:s is_prime_time:s n_events:i",
-       """SELECT event_hour AS time_of_day_key, CASE WHEN event_hour < 5 OR event_hour >= 22 THEN 'late_night'
-          WHEN event_hour < 8 THEN 'early_morning' WHEN event_hour < 12 THEN 'morning'
-          WHEN event_hour < 17 THEN 'afternoon' ELSE 'evening' END AS daypart,
-          event_hour IN (19, 20, 21) AS is_prime_time, count(*) AS n_events FROM landing GROUP BY 1, 2, 3""")
+       """SELECT h AS time_of_day_key, CASE WHEN h < 5 OR h >= 22 THEN 'late_night'
+          WHEN h < 8 THEN 'early_morning' WHEN h < 12 THEN 'morning'
+          WHEN h < 17 THEN 'afternoon' ELSE 'evening' END AS daypart,
+          h IN (19, 20, 21) AS is_prime_time, count(event_hour) AS n_events
+          FROM (SELECT unnest(range(24)) AS h) LEFT JOIN landing ON event_hour = h GROUP BY 1, 2, 3""")
 def dim_time_of_day(p):
     n = p.landing.groupBy(F.col("event_hour").alias("time_of_day_key")).agg(F.count(F.lit(1)).alias("n_events"))
-    return dims.build_dim_time_of_day(p.spark).join(n, "time_of_day_key")
+    return dims.build_dim_time_of_day(p.spark).join(n, "time_of_day_key", "left").fillna(0, ["n_events"])
 
 
 @query("dm8_dim_geography", "geography_key:i country_code:s region:s",

@@ -309,8 +309,10 @@ def silent_gaps(p):
 
 
 @query("w17_rolling_actives", "day:s actives:i",
-       """SELECT d.day, count(DISTINCT user_id) AS actives FROM (SELECT DISTINCT day FROM ev) d
-          JOIN (SELECT DISTINCT user_id, day FROM ev) a ON a.day <= d.day AND a.day > d.day - 7 GROUP BY 1""")
+       """SELECT d.day, count(DISTINCT user_id) AS actives
+          FROM (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM ev
+                WHERE user_id IS NOT NULL) d
+          LEFT JOIN (SELECT DISTINCT user_id, day FROM ev) a ON a.day <= d.day AND a.day > d.day - 7 GROUP BY 1""")
 def rolling_actives(p):
     return windows.rolling_actives(ev(p), "user_id", "day", 7)
 

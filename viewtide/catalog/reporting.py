@@ -180,7 +180,8 @@ def active_users(p):
 
 @query("r6_rolling_mau", "engagement_date:s actives:i",
        """SELECT d.engagement_date, count(DISTINCT customer_key) AS actives
-          FROM (SELECT DISTINCT engagement_date FROM fact_daily) d JOIN fact_daily a
+          FROM (SELECT CAST(unnest(generate_series(min(engagement_date), max(engagement_date), INTERVAL 1 DAY)) AS DATE)
+                AS engagement_date FROM fact_daily WHERE customer_key IS NOT NULL) d LEFT JOIN fact_daily a
           ON a.engagement_date <= d.engagement_date AND a.engagement_date > d.engagement_date - 30 GROUP BY 1""")
 def rolling_mau(p):
     return rolling_actives(p.fact_daily, "customer_key", "engagement_date", 30)
@@ -270,13 +271,13 @@ def daily_totals(p):
 
 
 @query("r14_peak_concurrency", "day:s peak_sessions:i",
-       """WITH s AS (SELECT epoch_us(session_start_ts) // 1000000 AS a, epoch_us(session_end_ts) // 1000000 + 1 AS z
+       """WITH s AS (SELECT epoch_us(session_start_ts) // 1000000 AS a, epoch_us(session_end_ts) // 1000000 AS z
                      FROM fact_sessions),
-          x AS (SELECT a AS t, 1 AS d FROM s UNION ALL SELECT z, -1 FROM s),
-          n AS (SELECT t, sum(d) AS d FROM x GROUP BY 1),
-          r AS (SELECT t, sum(d) OVER (ORDER BY t ROWS UNBOUNDED PRECEDING) AS open, d FROM n)
-          SELECT CAST(to_timestamp(t) AT TIME ZONE 'UTC' AS DATE) AS day, max(greatest(open, open - d))
-          AS peak_sessions FROM r GROUP BY 1""")
+          d AS (SELECT unnest(generate_series(min(a) // 86400, max(z) // 86400)) AS n FROM s),
+          t AS (SELECT n * 86400 AS t FROM d UNION SELECT a FROM s),
+          o AS (SELECT t, count(a) AS open FROM t LEFT JOIN s ON a <= t AND z >= t GROUP BY 1)
+          SELECT CAST(to_timestamp(t // 86400 * 86400) AT TIME ZONE 'UTC' AS DATE) AS day, max(open) AS peak_sessions
+          FROM o GROUP BY 1""")
 def peak_concurrency(p):
     return reports.peak_concurrency(p.fact_sessions)
 

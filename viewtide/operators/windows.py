@@ -115,7 +115,7 @@ def silent_gaps(daily: DataFrame, key: str, day: str, days: int = 7, sustained:
 
 
 def rolling_actives(daily: DataFrame, user: str, day: str, days: int, out: str = "actives") -> DataFrame:
-    """Distinct users active in the ``days`` days ending on each day of the data.
+    """Distinct users active in the ``days`` days ending on each day from the first active one to the last.
 
     Each user's active days become the intervals of days they count for; overlapping intervals of a user are merged
     first, so a user contributes one +1 and one -1 per interval instead of ``days`` rows per active day.
@@ -130,10 +130,9 @@ def rolling_actives(daily: DataFrame, user: str, day: str, days: int, out: str =
     deltas = (spans.select(F.inline(F.array(F.struct(F.col("lo").alias(day), F.lit(1).alias("step")),
                                             F.struct(F.col("hi").alias(day), F.lit(-1).alias("step")))))
               .groupBy(day).agg(F.sum("step").alias("step")))
-    seen = active.select(F.col("__d").alias(day)).distinct().withColumn("seen", F.lit(True))
-    by_day = deltas.join(seen, day, "left")
-    return (by_day.withColumn(out, F.sum("step").over(Window.orderBy(day)))
-            .where(F.col("seen")).select(day, out))
+    span = active.agg(F.min("__d").alias("lo"), F.max("__d").alias("hi")).where("lo is not null")
+    by_day = span.select(F.explode(F.sequence("lo", "hi")).alias(day)).join(deltas, day, "left")  # one row per day
+    return by_day.select(day, F.sum(F.coalesce("step", F.lit(0))).over(Window.orderBy(day)).alias(out))
 
 
 def watch_deltas(events: DataFrame, session: str, ts: str, tie: str, event_type: str,

@@ -89,8 +89,9 @@ def store_fact_events(fact: DataFrame, path: str, order: Sequence[str], scope: C
 
 
 def store_fact_sessions(sessions: DataFrame, path: str, scope: Column | None = None) -> None:
-    """Upsert by session; a session whose start moves to an earlier day leaves the old partition."""
-    tables.upsert(sessions, path, ["session_id"], ["session_start_date"], ["session_end_ts"], scope)
+    """Upsert by session. A recomputed session is complete, so it always replaces the stored one, also when it ends
+    earlier than before; if its start moves to another day it leaves the old partition."""
+    tables.upsert(sessions, path, ["session_id"], ["session_start_date"], [], scope)
 
 
 def build_fact_daily(sessions: DataFrame, day: date | str | None = None, include_ending: bool = False) -> DataFrame:
@@ -104,7 +105,7 @@ def build_fact_daily(sessions: DataFrame, day: date | str | None = None, include
     if day is not None:
         rows = rows.where(F.col("engagement_date") == F.lit(day).cast("date"))
     aggs = [
-        F.countDistinct("session_id").alias("sessions_count"),
+        F.count("session_id").alias("sessions_count"),
         F.sum("watch_duration_seconds").cast("bigint").alias("total_watch_seconds"),
         F.avg("completion_pct").cast("decimal(4,3)").alias("completion_pct"),
         F.max("session_end_ts").alias("last_session_end_ts"),

@@ -403,14 +403,20 @@ def batch_thresholds(landing_marked: DataFrame, deduplicated: DataFrame, require
     return dup.unionByName(bad).unionByName(whole)
 
 
-def volume_anomalies(events: DataFrame, ts_col: str, tolerance: float = 0.5, days: int = 7) -> DataFrame:
-    """Hours whose row count differs by more than the tolerance from the mean of the same hour on the days before.
+def volume_anomalies(events: DataFrame, ts_col: str, tolerance: float = 0.5, weeks: int = 4) -> DataFrame:
+    """Hours whose row count differs by more than the tolerance from the mean of the same hour of the week in the
+    ``weeks`` weeks before, as far as the data reaches.
 
-    The counts shrink to one row per hour first; the comparison is a join of those rows with the earlier days.
+    The counts shrink to one row per hour first. Every hour between the first and the last is there, so an hour without
+    rows is reported itself and lowers the baseline of later ones.
     """
-    hours = events.groupBy(F.date_trunc("hour", ts_col).alias("hour_start")).agg(_n().alias("rows"))
-    earlier = hours.select(F.explode(F.sequence(F.lit(1), F.lit(days))).alias("d"), "hour_start", "rows").select(
-        (F.col("hour_start") + F.make_dt_interval(days=F.col("d"))).alias("hour_start"),
+    counts = events.where(F.col(ts_col).isNotNull()).groupBy(F.date_trunc("hour", ts_col).alias("hour_start")).agg(
+        _n().alias("rows"))
+    span = counts.agg(F.min("hour_start").alias("lo"), F.max("hour_start").alias("hi")).where("lo is not null")
+    every = span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 hour"))).alias("hour_start"))
+    hours = every.join(counts, "hour_start", "left").fillna(0, ["rows"])
+    earlier = hours.select(F.explode(F.sequence(F.lit(1), F.lit(weeks))).alias("w"), "hour_start", "rows").select(
+        (F.col("hour_start") + F.make_dt_interval(days=F.col("w") * 7)).alias("hour_start"),
         F.col("rows").alias("earlier_rows"))
     base = earlier.groupBy("hour_start").agg(F.avg("earlier_rows").alias("baseline"))
     return (hours.join(base, "hour_start")

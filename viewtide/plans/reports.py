@@ -136,21 +136,26 @@ def daily_totals(mart: DataFrame) -> DataFrame:
 def peak_concurrency(sessions: DataFrame) -> DataFrame:
     """Largest number of sessions open at once, per day; a session is open from its start to its end, both included.
 
-    Start and end steps collapse to one row per second. The running sum works inside each day, and each day opens with
-    the sessions left open by the days before (one row per day).
+    Start and end steps collapse to one row per second. The running sum works inside each day, and each day from the
+    first start to the last end opens with the sessions left open by the days before; those that end in the last second
+    of a day are gone at midnight. Days are one row each.
     """
     start, end = epoch_seconds(F.col("session_start_ts")), epoch_seconds(F.col("session_end_ts")) + 1
     steps = (sessions.select(F.inline(F.array(F.struct(start.alias("sec"), F.lit(1).alias("step")),
                                               F.struct(end.alias("sec"), F.lit(-1).alias("step")))))
-             .groupBy("sec").agg(F.sum("step").alias("step"), F.max(F.col("step") > 0).alias("opens"))
+             .groupBy("sec").agg(F.sum("step").alias("step"))
              .withColumn("day", F.to_date(F.timestamp_seconds("sec"))))
-    per_day = steps.groupBy("day").agg(F.sum("step").alias("net"))
-    carried = per_day.select("day", F.coalesce(
-        F.sum("net").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("open"))
     inside = F.sum("step").over(Window.partitionBy("day").orderBy("sec").rowsBetween(Window.unboundedPreceding, 0))
-    return (steps.withColumn("inside", inside).groupBy("day").agg(F.max("inside").alias("inside"))
-            .join(carried, "day")
-            .select("day", F.greatest(F.col("open"), F.col("open") + F.col("inside")).alias("peak_sessions")))
+    counted = steps.withColumn("inside", inside).groupBy("day").agg(
+        F.sum("step").alias("net"), F.max("inside").alias("inside"), F.bool_or(F.col("sec") % 86400 == 0).alias("midnight"))
+    days = sessions.agg(F.to_date(F.min("session_start_ts")).alias("lo"), F.to_date(F.max("session_end_ts")).alias("hi"))
+    per_day = days.where("lo <= hi").select(F.explode(F.sequence("lo", "hi")).alias("day")).join(counted, "day", "left")
+    carried = per_day.select("day", "inside", "midnight", F.coalesce(
+        F.sum("net").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("open"))
+    # A step at midnight is part of the running sum; otherwise the day starts with what was open.
+    most = F.when(F.coalesce("midnight", F.lit(False)), F.col("inside")).otherwise(
+        F.greatest(F.coalesce("inside", F.lit(0)), F.lit(0)))
+    return carried.select("day", (F.col("open") + most).alias("peak_sessions"))
 
 
 def agg_user_daily(daily: DataFrame) -> DataFrame:

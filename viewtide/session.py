@@ -30,21 +30,20 @@ def build_session(app: str = "viewtide", master: str | None = None, **conf: str)
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One process, whose folders all tasks see; a ``local-cluster`` has executors of its own."""
+    return spark.sparkContext.master.partition("[")[0] == "local"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every job relies on to a session somebody else built.
 
     On a cluster the number of shuffle partitions is the operator's choice and is left alone; AQE merges small ones.
-    In local mode the default of 200 only costs task start-up, so it follows the cores and nothing needs merging.
+    In local mode the default of 200 only costs task start-up, so it follows the cores.
     """
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
     if is_local(spark) and spark.conf.get("spark.sql.shuffle.partitions") == "200":
         spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-    if is_local(spark):
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     return spark
 
 
