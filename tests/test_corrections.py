@@ -49,3 +49,37 @@ def test_repeated_natural_key_gets_one_surrogate(spark):
 def test_seasons(spark):
     got = {r["month"]: r["season"] for r in dims.build_dim_date(spark).select("month", "season").distinct().collect()}
     assert [got[m] for m in (12, 1, 2, 3, 5, 6, 8, 9, 11)] == ["Winter"] * 3 + ["Spring"] * 2 + ["Summer"] * 2 + ["Fall"] * 2
+
+
+def test_failed_checks_stop_the_mart(spark, path):
+    import pytest
+
+    from viewtide.plans import marts
+    from viewtide.sources.metrics import CheckFailed
+
+    failed = spark.createDataFrame([("rows", False, "0", ">= 1")], "check string, passed boolean, observed string, expected string")
+    with pytest.raises(CheckFailed):
+        marts.build_mart("genre_mix_daily", None, {"dim_title": None}, path, checks=failed)
+    assert not tables.table_exists(spark, path)
+
+
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_checks_read_their_input_once(spark, path):
+    spark.range(100).selectExpr("id as raw_count", "cast(id as double) as quarantine_pct", "1 as pct_of_day", "'g' as genre",
+                                "date'2024-01-01' as engagement_date").write.parquet(path)
+    df = spark.read.parquet(path)
+    assert scans(quality.batch_gate(df)) == 1
+    found = quality.mart_tests({"genre_mart": df})
+    assert scans(found) == 1
+    assert {r["check"]: (r["passed"], r["observed"]) for r in found.collect()} == {
+        "genre_mart.engagement_date_not_null": (True, "0"), "genre_mart.genre_not_null": (True, "0"),
+        "genre_mart.pct_of_day_in_range": (True, "0"), "genre_mart_unique_engagement_date_genre": (False, "1")}
+
+
+def test_no_rate_ceiling_by_default():
+    from viewtide.streaming.landing import source_limits
+
+    assert source_limits("kafka") == {} and source_limits("parquet", max_files=3) == {"maxFilesPerTrigger": "3"}

@@ -386,17 +386,23 @@ def compare(p):
 
 # --- raw zone ---
 
+def received_span(p) -> tuple[datetime, datetime]:
+    """Bounds of the landing's server time, the upper one exclusive."""
+    lo, hi = p.landing.agg(F.min("server_received_at"), F.max("server_received_at")).first()
+    return lo, hi + timedelta(microseconds=1)
+
+
 @query("rz1_build_raw_events", EVENT,
        """SELECT event_id, customer_id, title_id, event_type, event_timestamp, server_received_at, position_ms
           FROM deduplicated""")
 def build_raw_events(p):
-    clean, _ = raw.build_raw_events(p.landing, ts("2023-12-01"), ts("2024-03-01"), RULES)
+    clean, _ = raw.build_raw_events(p.landing, *map(F.lit, received_span(p)), RULES)
     return clean
 
 
 @query("rz1_quarantine", "event_id:i position_ms:i reason:s", "SELECT event_id, position_ms, reason FROM quarantine")
 def quarantine(p):
-    _, bad = raw.build_raw_events(p.landing, ts("2023-12-01"), ts("2024-03-01"), RULES)
+    _, bad = raw.build_raw_events(p.landing, *map(F.lit, received_span(p)), RULES)
     return bad.withColumnRenamed(raw.REASON, "reason")
 
 
@@ -456,7 +462,8 @@ def range_backfill(p):
         clean, bad = raw.build_raw_events(p.landing, F.lit(lo), F.lit(hi), RULES)
         tables.upsert(clean, f"{root}/raw", ["event_id"], ["event_date"], ["server_received_at"])
 
-    start, end, step = datetime(2023, 12, 31), datetime(2024, 2, 2), timedelta(days=11)
+    start, end = received_span(p)
+    step = timedelta(days=11)
     raw.run_range(job, start, end, step)
     raw.run_range(job, start + step, start + 2 * step, step)
     return tables.read_table(p.spark, f"{root}/raw")
@@ -568,6 +575,15 @@ def fact_events(p):
     return p.fact_events
 
 
+@query("fx1_event_keys", "event_id:i time_of_day_key:i schema_version:i geography_key:i",
+       """SELECT event_id, event_hour AS time_of_day_key, 1 AS schema_version, CASE WHEN k < 10 THEN k + 1 END
+          AS geography_key FROM (SELECT *, CAST(substr(geo_country, 2) AS BIGINT) AS k FROM fact_events)""")
+def event_keys(p):
+    countries = p.raw.select(F.col("geo_country").alias("country_code")).distinct().withColumns(
+        {c: F.lit("x") for c in ("country_name", "region", "sub_region", "currency_code")})
+    return facts.with_event_keys(p.fact_events, p.raw, dims.build_dim_geography(countries))
+
+
 @query("fx2_fact_sessions", "session_id:s customer_key:i title_key:i device_key:i date_key:i session_start_ts:t "
        "session_end_ts:t watch_duration_seconds:i content_duration_seconds:i completion_pct:d pause_count:i "
        "seek_count:i was_completed:s was_force_closed:s session_start_date:s", "SELECT * FROM fact_sessions")

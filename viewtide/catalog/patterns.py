@@ -300,6 +300,18 @@ def hash_keys(p):
     return keys.hash_keys(p.table("part").select("p_partkey"), "p_partkey", "part_key")
 
 
+@query("w15_hash_keys_stable", "n_rows:i n_keys:i n_same:i n_null:i",
+       "SELECT count(*) AS n_rows, count(DISTINCT p_partkey) AS n_keys, count(*) AS n_same, 0 AS n_null FROM part")
+def hash_keys_stable(p):
+    """As many keys as natural keys, none missing, and the same ones when the rows come in another order and partitioning."""
+    part = p.table("part").select("p_partkey")
+    first = keys.hash_keys(part, "p_partkey", "part_key")
+    again = keys.hash_keys(part.repartition(3, F.rand(1)), "p_partkey", "other")
+    return first.join(again, "p_partkey").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("part_key").alias("n_keys"),
+        F.count_if(F.col("part_key") == F.col("other")).alias("n_same"), F.count_if(F.col("part_key").isNull()).alias("n_null"))
+
+
 @query("w16_silent_gaps", "user_id:i day:s last_active:s silent_days:i active_days_before:i",
        """SELECT * FROM (SELECT user_id, day, lag(day) OVER w AS last_active, day - lag(day) OVER w AS silent_days,
           row_number() OVER w - 1 AS active_days_before FROM (SELECT DISTINCT user_id, day FROM ev)

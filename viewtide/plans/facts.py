@@ -38,6 +38,18 @@ def build_fact_events(raw: DataFrame, dims: Mapping[str, tuple[DataFrame, str, s
     return keyed.select(*EVENT_COLS, *keep)
 
 
+def with_event_keys(events: DataFrame, raw: DataFrame, geography: DataFrame | None = None) -> DataFrame:
+    """The event fact with ``time_of_day_key``, ``schema_version``, ``_loaded_at`` (where the raw zone has them) and, from
+    a geography dimension, ``geography_key``; an unknown country stays NULL."""
+    out = events.withColumn("time_of_day_key", F.col("event_hour").cast("int"))
+    more = [c for c in ("schema_version", "_loaded_at") if c in raw.columns and c not in events.columns]
+    if more:
+        out = out.join(raw.select("event_id", *more), "event_id")
+    if geography is None:
+        return out
+    return resolve_keys(out, {"geo_country": (geography, "country_code", "geography_key")})
+
+
 def _among(types: Sequence[str]) -> str:
     """SQL text: whether the event type is one of ``types``; false when it is missing."""
     listed = ", ".join(f"'{t}'" for t in types)
@@ -94,6 +106,38 @@ def store_fact_sessions(sessions: DataFrame, path: str, scope: Column | None = N
     tables.upsert(sessions, path, ["session_id"], ["session_start_date"], [], scope)
 
 
+def earliest_day(batch: DataFrame, facts: DataFrame | None) -> Column:
+    """Literal lower bound on the event date of everything the batch's sessions hold.
+
+    A known session's first day is in the session fact, a new one starts within the batch; both reduce to one date.
+    """
+    lows = batch.select(F.col("event_date").alias("d"))
+    if facts is not None:
+        ids = batch.select(F.col("session_id").alias("__s")).distinct()
+        known = facts.join(ids, F.col("session_id") == F.col("__s"), "left_semi")
+        lows = lows.unionByName(known.select(F.col("session_start_date").alias("d")))
+    return F.lit(lows.agg(F.min("d")).first()[0])
+
+
+def run_interval(raw: DataFrame, dims: Mapping[str, tuple[DataFrame, str, str]], titles: DataFrame, start: Column,
+                 end: Column, event_path: str, session_path: str, roles: Roles = Roles()) -> None:
+    """The incremental facts of one interval of server time: events received in it, and every session they touch.
+
+    The events of touched sessions are read again from raw, all of them, so a session is complete each time; no
+    partition before the earliest of their days is read. Event partitions are pruned by the lateness bound (a day before
+    the interval, a day after for clocks ahead). Running an interval twice changes nothing.
+    """
+    days = F.col("event_date").between(F.date_sub(F.to_date(start), 1), F.date_add(F.to_date(end), 1))
+    received = (F.col("server_received_at") >= start) & (F.col("server_received_at") < end)
+    fresh = raw.where(days & received)
+    store_fact_events(build_fact_events(fresh, dims, keep=["server_received_at"]), event_path, ["server_received_at"], days)
+    known = tables.read_table(raw.sparkSession, session_path) if tables.table_exists(raw.sparkSession, session_path) else None
+    low = earliest_day(fresh, known)
+    events = touched_sessions(raw.where(F.col("event_date") >= low), "server_received_at", start, end)
+    store_fact_sessions(build_fact_sessions(build_fact_events(events, dims), titles, roles), session_path,
+                        F.col("session_start_date") >= low)
+
+
 def build_fact_daily(sessions: DataFrame, day: date | str | None = None, include_ending: bool = False) -> DataFrame:
     """Day grain by (day, customer, title). ``include_ending`` also counts a session on the day it ends."""
     start_day, end_day = F.col("session_start_date"), F.to_date("session_end_ts")

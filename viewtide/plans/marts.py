@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from viewtide.functions.scalars import count_where, decile, exact_ratio, explode_list
 from viewtide.operators.joins import attach, null_safe_join, share_of_total
 from viewtide.sources import tables
+from viewtide.sources.metrics import assert_checks
 
 DAY = "engagement_date"
 Day = date | str | None
@@ -171,8 +172,14 @@ MARTS: Mapping[str, tuple[Callable[..., DataFrame], str]] = {
 }
 
 
-def build_mart(name: str, sessions: DataFrame, dims: Mapping[str, DataFrame], path: str, day: Day = None) -> None:
-    """Build a mart for one day (replacing that day) or for all days (replacing the table)."""
+def build_mart(name: str, sessions: DataFrame, dims: Mapping[str, DataFrame], path: str, day: Day = None,
+               checks: DataFrame | None = None) -> None:
+    """Build a mart for one day (replacing that day) or for all days (replacing the table).
+
+    ``checks`` gate the refresh: if one failed, an error is raised and the mart stays as it is.
+    """
+    if checks is not None:
+        assert_checks(checks)
     plan, dim = MARTS[name]
     out = plan(sessions, dims[dim], day)
     if day is None:

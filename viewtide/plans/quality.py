@@ -31,6 +31,14 @@ def verdict(row: DataFrame, name: str, passed: Column, observed: Column, expecte
                       observed.cast("string").alias("observed"), want.alias("expected"))
 
 
+def verdicts(row: DataFrame, *checks: tuple[str, Column, Column, str]) -> DataFrame:
+    """Several check rows, (name, passed, observed, expected) each, from one row of numbers read once."""
+    rows = [F.struct(F.lit(name).alias("check"), F.coalesce(passed, F.lit(False)).alias("passed"),
+                     observed.cast("string").alias("observed"), F.lit(want).alias("expected"))
+            for name, passed, observed, want in checks]
+    return row.select(F.inline(F.array(*rows)))
+
+
 def _none(df: DataFrame, name: str, bad: Column) -> DataFrame:
     """Passes when no row matches ``bad``."""
     row = df.agg(F.coalesce(count_where(bad), F.lit(0)).alias("n"))
@@ -214,10 +222,9 @@ def batch_metrics(raw: DataFrame, bad: DataFrame, exact_lag: bool = True) -> Dat
 
 def batch_gate(metrics: DataFrame, min_rows: int = 1, max_quarantine_pct: float = 5.0) -> DataFrame:
     """The two gating checks of a batch; ``assert_checks`` raises when one fails."""
-    rows = verdict(metrics, "raw_count", F.col("raw_count") >= min_rows, F.col("raw_count"), f">= {min_rows}")
-    share = verdict(metrics, "quarantine_pct", F.col("quarantine_pct") <= max_quarantine_pct,
-                    F.col("quarantine_pct"), f"<= {max_quarantine_pct}")
-    return rows.unionByName(share)
+    rows, share = F.col("raw_count"), F.col("quarantine_pct")
+    return verdicts(metrics, ("raw_count", rows >= min_rows, rows, f">= {min_rows}"),
+                    ("quarantine_pct", share <= max_quarantine_pct, share, f"<= {max_quarantine_pct}"))
 
 
 def scorecard(t: Tables, metrics: DataFrame, as_of: Column) -> DataFrame:
@@ -275,13 +282,20 @@ MART_TESTS: Mapping[str, tuple[Sequence[str], Sequence[tuple[str, float, float]]
 
 
 def mart_tests(t: Tables) -> DataFrame:
+    """Every test of a mart in one pass over it: its rows are counted per key first, then over all keys."""
     found = []
     for table, (required, ranges, unique) in MART_TESTS.items():
         if table not in t:
             continue
-        found += [expect_not_null(t[table], table, c) for c in required]
-        found += [expect_range(t[table], table, c, lo, hi) for c, lo, hi in ranges]
-        found.append(expect_unique(t[table], table, unique))
+        bad = {f"{table}.{c}_not_null": F.col(c).isNull() for c in required}
+        bad |= {f"{table}.{c}_in_range": (F.col(c) < lo) | (F.col(c) > hi) for c, lo, hi in ranges}
+        names = [f"b{i}" for i in range(len(bad))]
+        per_key = t[table].groupBy(*unique).agg(_n().alias("rows"), *[
+            count_where(test).alias(n) for n, test in zip(names, bad.values())])
+        row = per_key.agg(count_where(F.col("rows") > 1).alias("repeated"), *[F.sum(n).alias(n) for n in names])
+        counted = {**dict(zip(bad, names)), f"{table}_unique_{'_'.join(unique)}": "repeated"}
+        found.append(verdicts(row, *[(check, F.coalesce(n, F.lit(0)) == 0, F.coalesce(n, F.lit(0)), "0")
+                                     for check, n in ((check, F.col(n)) for check, n in counted.items())]))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -375,12 +389,10 @@ def event_profile(events: DataFrame, roles: Roles = Roles()) -> DataFrame:
 
 # --- thresholds of the design ---
 
-def graded(row: DataFrame, name: str, value: Column, warn: float, alert: float) -> DataFrame:
-    """A value against a warning and an alert limit."""
+def graded(name: str, value: Column, warn: float, alert: float) -> tuple[str, Column, Column, str]:
+    """A value against a warning and an alert limit, for :func:`verdicts`."""
     level = F.when(value >= alert, "alert").when(value >= warn, "warn").otherwise("ok")
-    return row.select(F.lit(name).alias("check"), (level == "ok").alias("passed"),
-                      F.concat_ws(" ", level, F.round(value, 6).cast("string")).alias("observed"),
-                      F.lit(f"< {warn}").alias("expected"))
+    return name, level == "ok", F.concat_ws(" ", level, F.round(value, 6).cast("string")), f"< {warn}"
 
 
 def batch_thresholds(landing_marked: DataFrame, deduplicated: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -396,11 +408,10 @@ def batch_thresholds(landing_marked: DataFrame, deduplicated: DataFrame, require
     def ratio(a: Column, b: Column) -> Column:
         return F.try_divide(a.cast("double"), b.cast("double"))
 
-    dup = graded(row, "dedup_ratio", ratio(F.col("rows") - F.col("bad"), F.col("kept")), 1.05, 1.10)
-    bad = graded(row, "quarantine_rate", ratio(F.col("bad"), F.col("rows")), 0.01, 0.05)
     share = ratio(F.col("complete"), F.col("rows"))
-    whole = verdict(row, "schema_conformity", share > 0.999, F.round(share, 6), "> 0.999")
-    return dup.unionByName(bad).unionByName(whole)
+    return verdicts(row, graded("dedup_ratio", ratio(F.col("rows") - F.col("bad"), F.col("kept")), 1.05, 1.10),
+                    graded("quarantine_rate", ratio(F.col("bad"), F.col("rows")), 0.01, 0.05),
+                    ("schema_conformity", share > 0.999, F.round(share, 6), "> 0.999"))
 
 
 def volume_anomalies(events: DataFrame, ts_col: str, tolerance: float = 0.5, weeks: int = 4) -> DataFrame:
@@ -431,9 +442,8 @@ LAG_TARGETS = {"p50": (0.50, 5.0), "p95": (0.95, 30.0), "p99": (0.99, 120.0)}
 def lag_sla(events: DataFrame, targets: Mapping[str, tuple[float, float]] = LAG_TARGETS) -> DataFrame:
     lag = events.select((F.unix_micros("server_received_at") - F.unix_micros("event_timestamp")).alias("lag"))
     row = percentiles(lag, [], "lag", {n: p for n, (p, _) in targets.items()})
-    checks = [verdict(row, f"lag_{n}", F.col(n) / 1_000_000.0 < limit, F.round(F.col(n) / 1_000_000.0, 3),
-                      f"< {limit}") for n, (_, limit) in targets.items()]
-    return reduce(DataFrame.unionByName, checks)
+    return verdicts(row, *[(f"lag_{n}", F.col(n) / 1_000_000.0 < limit, F.round(F.col(n) / 1_000_000.0, 3), f"< {limit}")
+                           for n, (_, limit) in targets.items()])
 
 
 def zone_score(checks: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:

@@ -12,6 +12,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Session windows of a hot key are merged in each task before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 STATIC = {
     "spark.ui.enabled": "false",

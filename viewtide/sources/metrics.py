@@ -24,11 +24,11 @@ def metric_rows(row: DataFrame, dag_id: str, run_id: str, start: Column, end: Co
 
 
 def write_metrics(rows: DataFrame, path: str) -> None:
-    tables.append(rows.coalesce(1), path)
+    tables.append(rows.repartition(1), path)
 
 
 def save_checks(checks: DataFrame, path: str, recorded_at: Column) -> None:
-    tables.append(checks.withColumn("recorded_at", recorded_at).coalesce(1), path)
+    tables.append(checks.withColumn("recorded_at", recorded_at).repartition(1), path)
 
 
 class CheckFailed(RuntimeError):

@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-# A micro-batch closes at 50 000 rows or after 60 seconds.
-FLUSH_ROWS = 50_000
+# Fixed value: a micro-batch closes after 60 seconds.
 FLUSH_SECONDS = 60
 
 
-def source_limits(fmt: str, max_rows: int = FLUSH_ROWS, max_files: int = 100) -> dict[str, str]:
-    """Reader options that bound a micro-batch."""
-    return {"maxOffsetsPerTrigger": str(max_rows)} if fmt == "kafka" else {"maxFilesPerTrigger": str(max_files)}
+def source_limits(fmt: str, max_rows: int | None = None, max_files: int | None = None) -> dict[str, str]:
+    """Reader options that bound a micro-batch; without a limit it takes what has arrived, so no rate is a ceiling."""
+    name, limit = ("maxOffsetsPerTrigger", max_rows) if fmt == "kafka" else ("maxFilesPerTrigger", max_files)
+    return {} if limit is None else {name: str(limit)}
 
 
 def land_stream(stream: DataFrame, path: str, checkpoint: str, parts: Sequence[str] = ("event_date", "event_hour"),

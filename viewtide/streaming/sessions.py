@@ -8,22 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from viewtide.plans.facts import Roles, build_fact_sessions, store_fact_sessions
+from viewtide.plans.facts import Roles, build_fact_sessions, earliest_day, store_fact_sessions
 from viewtide.plans.raw import Rules, newest_events, split_quarantine, store_raw_events
 from viewtide.sources import tables
 
 
-def earliest_day(batch: DataFrame, facts: DataFrame | None) -> Column:
-    """Literal lower bound on the event date of everything the batch's sessions hold.
+def near_dates(batch: DataFrame, days: int = 1) -> Column | None:
+    """Test for stored rows whose event date is within ``days`` of the batch's; None where the batch has no date.
 
-    A known session's first day is in the session fact, a new one starts within the batch; both reduce to one date.
+    An event's copies carry one event time up to the lateness bound of a day, so no other partition holds its key.
     """
-    lows = batch.select(F.col("event_date").alias("d"))
-    if facts is not None:
-        ids = batch.select(F.col("session_id").alias("__s")).distinct()
-        known = facts.join(ids, F.col("session_id") == F.col("__s"), "left_semi")
-        lows = lows.unionByName(known.select(F.col("session_start_date").alias("d")))
-    return F.lit(lows.agg(F.min("d")).first()[0])
+    low, high = batch.agg(F.min("event_date"), F.max("event_date")).first()
+    if low is None:
+        return None
+    near = F.col("event_date").between(F.date_sub(F.lit(low).cast("date"), days), F.date_add(F.lit(high).cast("date"), days))
+    return near | F.col("event_date").isNull()
 
 
 def update_sessions(batch: DataFrame, raw_path: str, quarantine_path: str, fact_path: str,
@@ -37,7 +36,8 @@ def update_sessions(batch: DataFrame, raw_path: str, quarantine_path: str, fact_
     spark = batch.sparkSession
     clean, bad = split_quarantine(batch, rules)
     clean = newest_events(clean)
-    store_raw_events(clean, bad, raw_path, quarantine_path, parts=raw_parts)
+    scope = near_dates(batch)
+    store_raw_events(clean, bad, raw_path, quarantine_path, scope, raw_parts, scope)
     if clean.isEmpty():
         return
     facts = tables.read_table(spark, fact_path) if tables.table_exists(spark, fact_path) else None
@@ -45,7 +45,8 @@ def update_sessions(batch: DataFrame, raw_path: str, quarantine_path: str, fact_
     ids = clean.select(F.col("session_id").alias("__s")).distinct()
     events = (tables.read_table(spark, raw_path, clean.schema).where(F.col("event_date") >= low)
               .join(ids, F.col("session_id") == F.col("__s"), "left_semi"))
-    store_fact_sessions(build_fact_sessions(resolve(events), titles, roles), fact_path)
+    # A known session starts on ``low`` at the earliest, before and after the change.
+    store_fact_sessions(build_fact_sessions(resolve(events), titles, roles), fact_path, F.col("session_start_date") >= low)
 
 
 def session_stream(stream: DataFrame, checkpoint: str, update: Callable[[DataFrame], None],
@@ -68,7 +69,7 @@ def close_idle(df: DataFrame, idle: str = "30 minutes", lateness: str = "24 hour
     """Sessions whose silence exceeded ``idle``; force-closed when no end event was seen.
 
     On a stream rows appear once the watermark passes the silence (append mode). Windows of a session merge in the
-    state store, with partial merging before the shuffle.
+    state store; the session settings merge them in each task first, so a hot key sends one row per task and window.
     """
     ended = F.coalesce(F.col("event_type").isin(list(end_types)), F.lit(False))
     rows = df.withWatermark(ts, lateness) if df.isStreaming else df
