@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -44,11 +46,27 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     if is_local(spark) and spark.conf.get("spark.sql.shuffle.partitions") == "200":
         spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where they would not find it by PYTHONPATH or their working folder.
+
+    Spark itself distributes the archive to all executors; it is built and added once for each context.
+    """
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    sc = spark.sparkContext
+    known = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd() if is_local(spark) else ""]
+    if home in (os.path.abspath(p) for p in known if p) or getattr(sc, "_viewtide_shipped", False):
+        return
+    base = os.path.join(tempfile.mkdtemp(prefix="viewtide-code-"), "viewtide")
+    sc.addPyFile(shutil.make_archive(base, "zip", home, "viewtide"))
+    sc._viewtide_shipped = True
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors see, named by ``spark.checkpoint.dir``; a temporary folder in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
