@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from viewtide.llm import (bpe, language, lsh_forest, mixing, pivot_search, quality, sharding, simhash, toxicity,
                           urls)
+from viewtide.session import ship_package
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
