@@ -11,20 +11,24 @@ from pyspark.sql import functions as F
 
 from viewtide.llm import bpe, mixing, quality, simhash, toxicity
 from viewtide.llm.common import fresh, store
+from viewtide.session import ship_package
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    ship_package(spark)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar does not reject."""
+    ship_package(spark)
     return toxicity.keep_civil(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    ship_package(spark)
     return simhash.keep_one(docs)
 
 
@@ -35,6 +39,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the number of tokens and the hashes of the ids and of the decoded text."""
+    ship_package(spark)
     out = fresh(docs, "digest")
     rows = docs.withColumn(out, bpe.digests(F.col("text"), bpe.default_path()))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns],
