@@ -23,7 +23,7 @@ HEADLINE = (
     "r1_top_titles", "r6_active_users", "r14_peak_concurrency", "q1_fact_equals_raw", "q19_session_sanity",
     "q29_position_drops", "a1_group_stats", "a7_percentiles_lineitem", "a15_pivot", "w1_latest_per_key", "w2_rank_all",
     "w5_running_sum", "w8_pct_of_group", "w10_top_n", "w12_sessionize", "w13_dedup_latest", "w17_rolling_actives",
-    "dm1_upsert_scd1", "j2_attach_left", "st1_land_stream")
+    "dm1_upsert_scd1", "j2_attach_left", "st1_land_stream", "q_reconciliation", "fx2_incremental")
 
 
 def timed(action) -> float:
