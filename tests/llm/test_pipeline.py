@@ -4,7 +4,7 @@ import corpus_pipeline
 import pytest
 
 from viewtide.llm import bpe, simhash
-from test_classifiers import DOC, LABEL, corpus, frames, odd  # noqa: F401
+from test_classifiers import DOC, LABEL, corpus, odd  # noqa: F401
 
 
 @pytest.fixture(scope="module")

@@ -10,7 +10,6 @@ from viewtide.llm import (bpe, language, lsh_forest, mixing, pivot_search, quali
                           urls)
 from viewtide.session import ship_package
 
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
