@@ -265,8 +265,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     stays.
     """
     narrow = near_duplicates(docs, id_col, text_col)
-    rows = narrow.join(fingerprint_groups(narrow).select("fp", "root"), "fp")
-    first = (rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("w"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    per_fp = narrow.groupBy("fp").agg(F.min(order).alias("w"))  # combined before any shuffle, whatever a group's size
+    first = (per_fp.join(fingerprint_groups(narrow).select("fp", "root"), "fp").groupBy("root").agg(F.min("w").alias("w"))
              .select(F.col("w.doc_id").alias("w_id"), F.col("w.row").alias("w_row")))
     row, n = fresh(docs, "__row"), fresh(docs, "__n")
     wide = docs.withColumn(row, row_hash(docs))
