@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -101,3 +102,70 @@ def test_keep_one_keeps_columns_and_the_first(spark):
 def test_links_are_joined_by_key(spark):
     plan = simhash.fingerprint_links(spark.range(100).select(F.xxhash64("id").alias("fp")))._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def edited(rng, words, changes):
+    out = list(words)
+    for k in rng.sample(range(len(out)), changes):
+        out[k] = f"new{rng.random()}"
+    return out
+
+
+def shingled(text):
+    words = text.split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def test_keep_one_recall_of_five_word_shingles_against_brute_force(spark):
+    rng = random.Random(11)
+    docs = []
+    for _ in range(120):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([60, 200, 600]))]
+        docs += [" ".join(base), " ".join(edited(rng, base, rng.randrange(1, len(base) // 25)))]
+    docs += [" ".join(edited(rng, docs[0].split(), 1)) for _ in range(40)]  # a larger group of near copies
+    sets = [shingled(t) for t in docs]
+    own = list(range(len(docs)))
+
+    def root(i):
+        while own[i] != i:
+            i = own[i]
+        return i
+
+    pairs = [(i, j) for i in range(len(docs)) for j in range(i) if jaccard(sets[i], sets[j]) >= 0.8]
+    far = [(i, i + 1) for i in range(0, 240, 2) if jaccard(sets[i], sets[i + 1]) < 0.75]
+    for i, j in pairs:
+        own[max(root(i), root(j))] = min(root(i), root(j))
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(docs)], DDL)).collect()}
+    want = {i for i in own if root(i) == i}
+    bits = [simhash.fingerprint(t) for t in docs]
+    assert sum((bits[i] ^ bits[j]).bit_count() > 3 for i, j in pairs) > 50 and len(far) > 10
+    assert kept == want
+
+
+def test_keep_one_compares_sets_that_the_chain_separates(spark):
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(400)]
+    left, right = edited(rng, base, 7), edited(rng, base, 7)  # each similar to base, not to each other
+    rows = [(1, " ".join(left) + " a b c", "x", 1), (2, " ".join(base), "x", 1), (3, " ".join(right) + " d", "x", 1)]
+    assert not simhash.similar(*(simhash.shingle_set(rows[k][1]) for k in (0, 2)))
+    assert [r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, DDL)).collect()] == [1]
+    sigs = [simhash.signature(simhash.shingle_set(t)).tobytes() for _, t, *_ in rows]
+    pdf = pd.DataFrame({"sh": [7, 5, 6], "root": [7, 5, 5], "sig": sigs})
+    assert (5, 7) in set(map(tuple, simhash.unlinked_pairs(pdf).to_numpy().tolist()))
+
+
+def test_shingle_set_and_signature_match_brute_force():
+    rng = random.Random(13)
+    base = [f"w{rng.randrange(300)}" for _ in range(2000)]
+    a, b = " ".join(base), " ".join(edited(rng, base, 40))
+    x, y = simhash.shingle_set(a), simhash.shingle_set(b)
+    assert (len(x), len(y)) == (len(shingled(a)), len(shingled(b)))
+    exact = len(np.intersect1d(x, y)) / len(np.union1d(x, y))
+    assert exact == jaccard(shingled(a), shingled(b))
+    assert abs((simhash.signature(x) == simhash.signature(y)).mean() - exact) < 0.2
+    assert len(simhash.shingle_set(None)) == 0 and len(simhash.shingle_set("A b")) == 1
+    assert simhash.shingle_set("A b") == simhash.shingle_set(" a  B ")

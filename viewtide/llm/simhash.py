@@ -1,4 +1,5 @@
-"""SimHash near-duplicates: fingerprints, a binary-trie self-join under a Hamming budget, and the groups it links.
+"""Near-duplicates: SimHash fingerprints, a binary-trie self-join under a Hamming budget, and the groups it links; for the
+pipeline's stage also every two texts whose sets of five-word shingles have Jaccard similarity 0.8 or more.
 
 The set of distinct fingerprints is a binary trie, never materialised: a node is a prefix, and below a task's size it is
 a range of a sorted array. The self-join starts with the pair (root, root) and descends both nodes of a pair together.
@@ -6,6 +7,13 @@ A pair carries the number of bits in which its prefixes differ and is dropped as
 levels are a Spark job over (prefix, count) tables, which ends for a pair when its two nodes together are small enough for
 a task; each such pair is then finished inside one task over two sorted arrays.
 
+SimHash cannot find the latter: at Jaccard 0.8 two fingerprints differ in about 10 of 64 bits, and a trie join at that
+budget prunes nothing. ``keep_one`` therefore adds MinHash: distinct shingle sets meet in buckets of ``BANDS`` bands of
+``BAND_ROWS`` values, which is expected to miss 0.04 % of the pairs at 0.8 and fewer above. A bucket's sets are first compared along a
+chain by size, so a large group of copies costs one pair a copy; then all pairs of a bucket that are not in one group
+yet. A pair whose signatures agree in at least ``LIKELY`` is confirmed on the shingles of the whole texts. Work grows with
+the square of a bucket only for sets in it that are not linked.
+
 Defined results: a null or empty text has fingerprint zero, which is linked like any other; rows with equal fingerprints are
 linked without a join; repeated rows stay, one result row for each; a null id takes part and yields a null component only
 if its whole component has no id; an empty table gives an empty result. Other columns of the input are not looked at.
@@ -18,7 +26,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, StructType
 
 from viewtide.llm.common import forget, fresh, is_empty, row_hash, store, words_of
 
@@ -30,6 +38,14 @@ STRIDE = 4              # trie levels that one Spark step descends
 LEAF_ROWS = 131_072     # fingerprints below both nodes of a pair that one task takes
 FRONTIER = 1 << 19      # node pairs a task expands at once
 
+WORDS = 5               # shingles of the pipeline's stage
+BANDS, BAND_ROWS = 20, 5
+LIKELY = 0.6            # least agreement of two signatures; at Jaccard 0.8 it is lower once in a million pairs
+_RNG = np.random.default_rng(SEED)
+_FLIP, _ODD = (_RNG.integers(0, 2**64, (BANDS * BAND_ROWS, 1), np.uint64) for _ in range(2))
+_ODD |= np.uint64(1)
+_PLACE = _RNG.integers(0, 2**64, WORDS, np.uint64) | np.uint64(1)
+
 
 # --- fingerprints ---
 
@@ -240,6 +256,128 @@ def fingerprint_groups(narrow: DataFrame) -> DataFrame:
             .select("fp", F.coalesce("root", "fp").alias("root"), "first"))
 
 
+# --- shingle sets ---
+
+def shingle_set(text: str | None) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the five-word shingles; a shorter text is one shingle, one without words none."""
+    words = words_of(text)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+    if len(words) < WORDS:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)] * bool(words), np.uint64)
+    h = np.zeros(len(words) - WORDS + 1, np.uint64)
+    for k in range(WORDS):
+        h += hashes[k:k + len(h)] * _PLACE[k]
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return np.unique(h ^ (h >> np.uint64(31)))
+
+
+def signature(shingles: np.ndarray) -> np.ndarray:
+    """MinHash values, the upper half of each."""
+    low = np.full(len(_ODD), 2**64 - 1, np.uint64)
+    for start in range(0, len(shingles), 1024):
+        low = np.minimum(low, ((shingles[start:start + 1024] ^ _FLIP) * _ODD).min(axis=1))
+    return (low >> np.uint64(32)).astype(np.uint32)
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets have Jaccard similarity 0.8 or more."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 5 * both >= 4 * (len(a) + len(b) - both)
+
+
+@F.pandas_udf(StructType().add("fp", LongType()).add("sh", LongType()).add("n", IntegerType()).add("sig", BinaryType()))
+def marks(text: pd.Series) -> pd.DataFrame:
+    """Fingerprint; hash and size of the shingle set, and its signature."""
+    found = []
+    for t in text:
+        s = shingle_set(t)
+        sh = int.from_bytes(xxhash.xxh64_digest(s.tobytes(), SEED), "big", signed=True)
+        found.append((fingerprint(t), sh, len(s), signature(s).tobytes()))
+    return pd.DataFrame(found, columns=["fp", "sh", "n", "sig"])
+
+
+@F.pandas_udf(BinaryType())
+def shingle_bytes(text: pd.Series) -> pd.Series:
+    return pd.Series([shingle_set(t).tobytes() for t in text], dtype=object)
+
+
+@F.pandas_udf(BooleanType())
+def likely(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([bool((np.frombuffer(x, np.uint32) == np.frombuffer(y, np.uint32)).mean() >= LIKELY)
+                      for x, y in zip(a, b)], dtype=bool)
+
+
+@F.pandas_udf(BooleanType())
+def confirmed(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b)], dtype=bool)
+
+
+def unlinked_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of one bucket whose sets are in different groups and whose signatures are likely to be similar."""
+    sh, root = pdf["sh"].to_numpy(), pdf["root"].to_numpy()
+    sig = np.stack([np.frombuffer(x, np.uint32) for x in pdf["sig"]])
+    names, sizes = np.unique(root, return_counts=True)
+    out = []
+    for i in np.flatnonzero(root != names[sizes.argmax()]):  # every pair has an end outside the largest group
+        j = np.flatnonzero(root != root[i])
+        j = j[(sig[j] == sig[i]).mean(axis=1) >= LIKELY]
+        out.append(np.stack([np.minimum(sh[i], sh[j]), np.maximum(sh[i], sh[j])], axis=1))
+    return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 2), np.int64), columns=["x", "y"])
+
+
+def both_ends(pairs: DataFrame, sets: DataFrame, col: str) -> DataFrame:
+    """``x``, ``y`` with ``col`` of either set as ``a`` and ``b``."""
+    return (pairs.join(sets.select(F.col("sh").alias("x"), F.col(col).alias("a")), "x")
+            .join(sets.select(F.col("sh").alias("y"), F.col(col).alias("b")), "y"))
+
+
+def confirmed_links(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The pairs ``x``, ``y`` of shingle sets with Jaccard similarity 0.8 or more, by the whole text of one row of each."""
+    near = store(both_ends(pairs, sets, "sig").where(likely("a", "b")).select("x", "y"), "likely")
+    if is_empty(near):
+        return near
+    ends = near.select(F.explode(F.array("x", "y")).alias("sh")).distinct()
+    rows = ends.join(sets, "sh").select("sh", F.col("w.doc_id").alias("w_id"), F.col("w.row").alias("w_row"))
+    texts = docs.select(F.col(id_col).alias("d_id"), row_hash(docs).alias("d_row"), F.col(text_col).alias("text"))
+    found = rows.join(texts, F.col("w_id").eqNullSafe(F.col("d_id")) & (F.col("w_row") == F.col("d_row")))
+    whole = store(found.dropDuplicates(["sh"]).select("sh", shingle_bytes("text").alias("shingles")), "shingles")
+    links = store(both_ends(near, whole, "shingles").where(confirmed("a", "b")).select("x", "y"), "similar")
+    forget(near, whole)
+    return links
+
+
+def set_groups(narrow: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``node``, ``root`` of every shingle set that is linked with another, by fingerprint or by similarity."""
+    of_fp = store(narrow.select("fp", "sh").distinct(), "sets-of-fingerprints")
+    first = store(of_fp.groupBy("fp").agg(F.min("sh").alias("first")), "distinct")
+    links = of_fp.join(first, "fp").select(F.col("sh").alias("x"), F.col("first").alias("y")).where("x != y")
+    by_bits = (fingerprint_links(first.select("fp"))
+               .join(first.select(F.col("fp").alias("x"), F.col("first").alias("a")), "x")
+               .join(first.select(F.col("fp").alias("y"), F.col("first").alias("b")), "y"))
+    links = links.unionByName(by_bits.select(F.col("a").alias("x"), F.col("b").alias("y")))
+
+    width = BAND_ROWS * 4
+    keys = F.array(*[F.xxhash64(F.lit(k), F.substring("sig", k * width + 1, width)) for k in range(BANDS)])
+    chain = Window.partitionBy("bucket").orderBy("n", "sh")
+    dealt = sets.where("n > 0").select("sh", "n", F.explode(keys).alias("bucket"))
+    shared = store(dealt.withColumn("before", F.lag("sh").over(chain)).withColumn("after", F.lead("sh").over(chain))
+                   .where("before is not null or after is not null").select("bucket", "sh", "before"), "buckets")
+    pairs = store(shared.where("before is not null")
+                  .select(F.least("before", "sh").alias("x"), F.greatest("before", "sh").alias("y")).distinct(), "chains")
+    comp = components(links.unionByName(confirmed_links(pairs, sets, docs, id_col, text_col)))
+
+    named = shared.join(comp, F.col("sh") == F.col("node"), "left").select("bucket", "sh", F.coalesce("root", "sh").alias("root"))
+    mixed = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+    rest = (named.join(mixed, "bucket", "left_semi").join(sets.select("sh", "sig"), "sh")
+            .groupBy("bucket").applyInPandas(unlinked_pairs, "x bigint, y bigint").distinct().join(pairs, ["x", "y"], "left_anti"))
+    more = confirmed_links(rest, sets, docs, id_col, text_col)
+    if not is_empty(more):
+        comp = components(comp.select(F.col("node").alias("x"), F.col("root").alias("y")).unionByName(more))
+    forget(of_fp, first, shared, pairs)
+    return comp
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``row`` (hash) and ``fp`` (signed) of every document, stored."""
     return store(docs.select(F.col(id_col).alias("doc_id"), row_hash(docs).alias("row"),
@@ -259,15 +397,20 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without all but the first of each group, by id (nulls last) and then by row hash.
+    """The rows of ``docs`` without all but the first of each group, by id (nulls last) and then by row hash. A group is
+    linked by fingerprints or by Jaccard similarity of five-word shingles, as the module says.
 
-    Winners are chosen on narrow rows; the texts are shuffled once, for the semi-join. Of rows equal in every column one
-    stays.
+    Winners are chosen on narrow rows; the texts are shuffled for the semi-join, and those of similar sets for comparison.
+    Of rows equal in every column one stays.
     """
-    narrow = near_duplicates(docs, id_col, text_col)
+    narrow = store(docs.select(F.col(id_col).alias("doc_id"), row_hash(docs).alias("row"), marks(F.col(text_col)).alias("m"))
+                   .select("doc_id", "row", "m.*"), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    per_fp = narrow.groupBy("fp").agg(F.min(order).alias("w"))  # combined before any shuffle, whatever a group's size
-    first = (per_fp.join(fingerprint_groups(narrow).select("fp", "root"), "fp").groupBy("root").agg(F.min("w").alias("w"))
+    sets = store(narrow.groupBy("sh").agg(F.min(order).alias("w"), F.min("n").alias("n"), F.min("sig").alias("sig")),
+                 "sets")  # combined before any shuffle, whatever a group's size
+    comp = set_groups(narrow, sets, docs, id_col, text_col).withColumnRenamed("node", "sh")
+    first = (sets.select("sh", "w").join(comp, "sh", "left").groupBy(F.coalesce("root", "sh").alias("root"))
+             .agg(F.min("w").alias("w"))
              .select(F.col("w.doc_id").alias("w_id"), F.col("w.row").alias("w_row")))
     row, n = fresh(docs, "__row"), fresh(docs, "__n")
     wide = docs.withColumn(row, row_hash(docs))
