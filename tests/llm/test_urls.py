@@ -68,3 +68,14 @@ def test_propagation_matches_brute_force(spark):
 def test_repeats_and_empty(spark):
     assert urls.judged(pages(spark, ROWS[:2] * 3)).count() == 6
     assert urls.judged(pages(spark, [])).collect() == []
+
+
+def test_unrelated_pages_do_not_round_a_verdict_away(spark):
+    hops = [(1, "https://a.net/", link("b.net")), (2, "https://b.net/", link("c.net")), (3, "https://c.net/", link("bad.com")),
+            (4, "https://bad.com/de/x", None)]
+    fill = [(10 + k, f"https://f{k}.net/", link("b.net", "c.net", "bad.com")) for k in range(300)]
+    far = [(1000 + k, f"https://far{k % 50}.com/de/{k}", None) for k in range(30_000)]
+    for more in ([], far):
+        got = {r.page_id: r for r in urls.judged(pages(spark, hops + fill + more)).where("page_id < 5").collect()}
+        assert got[1].verdict == "block" and got[1].trust == 0
+    assert 0 < got[1].distrust < 5e-13

@@ -4,7 +4,7 @@ A page whose url fits a rule takes the verdict of the longest. For the others th
 their host a seed, of trust by its share of all allowed pages and of distrust by its share of all blocked ones. Trust
 flows along links (a host that trusted hosts link to is trusted), distrust against them (a host that links to blocked hosts is
 suspect): two personalised PageRanks, iterated in Spark over the distinct links between hosts until nothing moves. A host
-is blocked where its distrust exceeds its trust by more than ``THRESHOLD``; a host that neither reaches is allowed.
+is blocked where its distrust exceeds its trust by more than the share ``MARGIN`` of it, whatever their size; a host that neither reaches is allowed.
 
 Links come from ``href`` attributes with a host of their own; links inside a host do not count. What flows into a host
 without links ends there. Ranks are added up per host with map-side combine, so a host with a third of all pages or links is
@@ -29,7 +29,7 @@ from viewtide.llm.common import forget, store
 DAMPING = 0.85
 ROUNDS = 20
 STILL = 1e-12
-THRESHOLD = 0.0
+MARGIN = 1e-9
 LINK = r"""(?i)href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
 
@@ -120,7 +120,7 @@ def judged(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str
     sums = narrow.agg(F.count_if(F.col("verdict") == "allow"), F.count_if(F.col("verdict") == "block")).first()
     seeds = per_host.select("host", (F.col("a") / float(max(sums[0], 1))).alias("st"), (F.col("b") / float(max(sums[1], 1))).alias("sb"))
     ranks = propagated(seeds, links)
-    of_host = F.when(F.round(F.col("distrust") - F.col("trust"), 12) > THRESHOLD, "block").otherwise("allow")
+    of_host = F.when(F.col("distrust") > F.col("trust") * (1 + MARGIN), "block").otherwise("allow")
     return (narrow.join(ranks, "host", "left")
             .select("page_id", "host", "path", "rule", F.coalesce("verdict", of_host).alias("verdict"), "trust", "distrust"))
 
