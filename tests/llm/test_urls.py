@@ -79,3 +79,17 @@ def test_unrelated_pages_do_not_round_a_verdict_away(spark):
         got = {r.page_id: r for r in urls.judged(pages(spark, hops + fill + more)).where("page_id < 5").collect()}
         assert got[1].verdict == "block" and got[1].trust == 0
     assert 0 < got[1].distrust < 5e-13
+
+
+def test_a_long_chain_is_followed_to_its_end(spark):
+    rows = [(k, f"https://h{k}.net/", link(f"h{k + 1}.net")) for k in range(26)] + [(26, "https://h26.net/", link("bad.com")),
+                                                                                  (27, "https://bad.com/de/x", None)]
+    got = {r.page_id: r for r in urls.judged(pages(spark, rows)).collect()}
+    assert {r.verdict for r in got.values()} == {"block"}
+    assert got[0].distrust == pytest.approx(0.15 * 0.85 ** 27, rel=1e-9)
+
+
+def test_ranks_that_still_move_are_an_error(spark):
+    seeds = spark.createDataFrame([("a", 1.0, 0.0), ("b", 0.0, 1.0)], "host string, st double, sb double")
+    with pytest.raises(RuntimeError):
+        urls.propagated(seeds, spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string"), rounds=3)

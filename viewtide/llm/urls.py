@@ -24,11 +24,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewtide.llm.common import forget, store
+from viewtide.llm.common import forget, is_empty, store
 
 DAMPING = 0.85
-ROUNDS = 20
-STILL = 1e-12
+ROUNDS = 4000           # only an error: about as many links as a rank can cross before it underflows
+STILL = 1e-12           # largest change of a host's rank in the last round, as a share of the rank
 MARGIN = 1e-9
 LINK = r"""(?i)href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
@@ -99,11 +99,15 @@ def propagated(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rou
         after = store(moved.select(
             "host", ((1 - damping) * F.col("st") + damping * F.coalesce("t", F.lit(0.0))).alias("trust"),
             ((1 - damping) * F.col("sb") + damping * F.coalesce("b", F.lit(0.0))).alias("distrust"), "t0", "b0"), "ranks")
-        step = after.agg(F.sum(F.abs(F.col("trust") - F.col("t0")) + F.abs(F.col("distrust") - F.col("b0")))).first()[0]
+        moving = after.where((F.abs(F.col("trust") - F.col("t0")) > STILL * F.col("trust"))
+                             | (F.abs(F.col("distrust") - F.col("b0")) > STILL * F.col("distrust")))
+        done = is_empty(moving)
         forget(ranks)
         ranks = after
-        if (step or 0.0) < STILL:
+        if done:
             break
+    else:
+        raise RuntimeError(f"host ranks still move after {rounds} rounds")
     forget(edges, hosts)
     return ranks.select("host", "trust", "distrust")
 
