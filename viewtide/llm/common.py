@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 import zlib
 
@@ -57,3 +58,19 @@ def is_empty(df: DataFrame) -> bool:
 def words_of(text: str | None) -> list[bytes]:
     """Words between the ASCII white space 0x20 and 0x09-0x0D, A-Z lower-cased, as UTF-8."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def join_counted(rows: DataFrame, facts: DataFrame, keys: list[str], count: str, share: int = 1000) -> DataFrame:
+    """Inner join of ``rows`` with one fact a key, where ``count`` says how many rows have the key (nulls are equal).
+
+    Keys with more than a ``share``-th of all rows would each be one task; there are fewer than ``share`` of them, which
+    bounds what is broadcast. All others are joined by a shuffle.
+    """
+    total = facts.agg(F.sum(count)).first()[0] or 0
+    names = [f"{k}_{uuid.uuid4().hex[:8]}" for k in keys]
+    facts = facts.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], *[c for c in facts.columns if c not in keys])
+    same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    hot = F.broadcast(facts.where(F.col(count) * share > total))
+    cold = facts.where(F.col(count) * share <= total)
+    others = rows.join(hot.select(*names), same, "left_anti")
+    return rows.join(hot, same).drop(*names).unionByName(others.join(cold, same).drop(*names))

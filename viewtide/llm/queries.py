@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import (bpe, language, lsh_forest, mixing, pivot_search, quality, sharding, simhash, toxicity,
+from viewtide.llm import (bpe, codes, language, lsh_forest, mixing, pivot_search, quality, sharding, simhash, toxicity,
                           urls)
 from viewtide.session import ship_package
 
@@ -77,3 +77,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_language_centroids")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return language.languages(table(spark, folder, "documents"))
+
+
+@query("op13_vector_codes", codes.ORACLE_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.vector_codes(table(spark, folder, "embeddings"))
