@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import (bpe, codes, language, lsh_forest, mixing, pivot_search, quality, sharding, simhash, toxicity,
+from viewtide.llm import (bpe, codes, language, lsh_forest, mixing, phrases, pivot_search, quality, sharding, simhash, toxicity,
                           urls)
 from viewtide.session import ship_package
 
@@ -82,3 +82,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_vector_codes", codes.ORACLE_SQL)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return codes.vector_codes(table(spark, folder, "embeddings"))
+
+
+@query("op11_phrase_fingerprints", phrases.ORACLE_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
