@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import (bpe, codes, language, lsh_forest, mixing, phrases, pivot_search, quality, sharding, simhash, toxicity,
+from viewtide.llm import (bpe, codes, language, lsh_forest, mixing, phrases, pivot_search, quality, sharding, simhash, suffixes, toxicity,
                           urls)
 from viewtide.session import ship_package
 
@@ -87,3 +87,8 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_phrase_fingerprints", phrases.ORACLE_SQL)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(table(spark, folder, "documents"))
+
+
+@query("op12_suffix_family", suffixes.ORACLE_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.repeat_digests(table(spark, folder, "documents"))
