@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewtide.operators.ordered import Ordered, running_count, running_sum
 
 
-def assign_keys(df: DataFrame, natural: str, key: str, offset: int = 0, hot_rows: int | None = None) -> DataFrame:
-    """``offset + 1, 2, ...`` in the order of a unique natural key."""
-    scanned = Ordered.split(df, [], [natural], hot_rows=hot_rows).scan(**{key: running_count()})
-    return scanned.df.withColumn(key, F.col(key) + F.lit(offset))
+def assign_keys(df: DataFrame, natural: str, key: str, offset: int | Column = 0, hot_rows: int | None = None,
+                probe: DataFrame | None = None) -> DataFrame:
+    """``offset + 1, 2, ...`` in the order of a unique natural key; ``probe`` holds the same keys, repeated or not."""
+    scanned = Ordered.split(df, [], [natural], hot_rows=hot_rows, probe=probe).scan(**{key: running_count()})
+    return scanned.df.withColumn(key, F.col(key) + (offset if isinstance(offset, Column) else F.lit(offset)))
 
 
 def hash_keys(df: DataFrame, natural: str, key: str) -> DataFrame:
@@ -33,7 +34,8 @@ def rank_all(df: DataFrame, col: str, rank: str = "rank", dense: str = "dense_ra
     """
     values = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("__v"))
               .agg(F.count(F.lit(1)).alias("__n")).withColumn("__neg", -F.col("__v")))
-    ranked = (Ordered.split(values, [], ["__neg"], hot_rows=hot_rows)
+    probe = df.where(F.col(col).isNotNull()).select((-F.col(col)).alias("__neg"))
+    ranked = (Ordered.split(values, [], ["__neg"], hot_rows=hot_rows, probe=probe)
               .scan(__cum=running_sum("__n"), **{dense: running_count()}).df
               .select("__v", (F.col("__cum") - F.col("__n") + 1).alias(rank), dense))
     return df.join(ranked, F.col(col) == F.col("__v"), "left").drop("__v")

@@ -1,11 +1,14 @@
 """Ordered scans that do not depend on one key fitting into one task.
 
 ``Window.partitionBy(key)`` sends all rows of a key to one task. That is the right plan until a key holds more rows than
-a task should take. :class:`Ordered` keeps the plain window for ordinary keys and splits every other one into consecutive
-chunks of its ordering: the window then runs per ``(key, chunk)``, each chunk is summarised by one row, and the value
-carried over from the earlier chunks is joined back. Rows are counted per key, whatever the input's size, and the chunk
-limits come from a sample that is ranked and written by Spark: every later pass over the data sees the same limits, and a
-lost executor can recompute its share. Neither the number of split keys nor of chunks is limited.
+a task should take. :class:`Ordered` splits every such key into consecutive chunks of its ordering: the window then runs per
+``(key, chunk)``, each chunk is summarised by one row, and the value carried over from the earlier chunks is joined back.
+
+Nothing runs while a plan is built. The chunk limits are a part of the plan: rows are picked by a hash of their order
+columns, so every evaluation picks the same ones, and every ``SAMPLE_PER_CHUNK``-th of a key's picked rows is a limit. A
+key without limits is one chunk. Where no key has any, which is known once the limits have been computed, adaptive
+execution drops the summaries, the carries and their joins, and what is left is the plain window. The detail is shuffled once.
+Neither the number of split keys nor of chunks is limited.
 
 With no key at all the same scan numbers or accumulates a whole table without the single task of ``Window.orderBy``.
 """
@@ -19,7 +22,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewtide.operators.joins import null_safe_join
-from viewtide.session import work_path
 
 HOT_ROWS = 2_000_000          # rows of one key that one task takes without splitting
 SAMPLE_PER_CHUNK = 30
@@ -111,45 +113,34 @@ def _locate(limits: Column, value: Column) -> Column:
 
 @dataclass(frozen=True)
 class Ordered:
-    """A frame with a partition key, a total order inside it and, for hot keys, a chunk number."""
+    """A frame with a partition key, a total order inside it and a chunk number."""
 
     frame: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    chunked: bool = False
+    limits: DataFrame
 
     @classmethod
     def split(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str], *, hot_rows: int | None = None,
               probe: DataFrame | None = None) -> Ordered:
-        """Find hot keys and chunk them.
+        """Number the chunks of every row's key; a key with about ``hot_rows`` rows or fewer is chunk -1.
 
         ``probe`` is a cheaper frame with the same key and order columns (for example the input before deduplication);
         it only decides where to cut. The limits that are sent to all tasks are one value for every ``hot_rows`` rows.
         """
-        keys, order = tuple(keys), tuple(order)
-        plain = cls(df, keys, order)
-        probe = df if probe is None else probe
-        limits = _chunk_limits(probe.select(*keys, *[c for c in order if c not in keys]), keys, order,
-                               hot_rows or HOT_ROWS)
-        if limits is None:
-            return plain
-        value = F.struct(*order)
-        if keys:
-            joined = null_safe_join(df, F.broadcast(limits), keys, "left")
-        else:  # limits is one row
-            joined = null_safe_join(df.withColumn(_ONE, F.lit(0)), F.broadcast(limits.withColumn(_ONE, F.lit(0))),
-                                    [_ONE], "left").drop(_ONE)
-        chunk = F.when(F.col("__limits").isNull(), F.lit(-1)).otherwise(_locate(F.col("__limits"), value))
-        return cls(joined.withColumn(_CHUNK, chunk).drop("__limits"), keys, order, chunked=True)
+        keys, order = tuple(keys) or (_ONE,), tuple(order)
+        if keys == (_ONE,):
+            df = df.withColumn(_ONE, F.lit(0))
+            probe = probe.withColumn(_ONE, F.lit(0)) if probe is not None else None
+        limits = _chunk_limits(df if probe is None else probe, keys, order, hot_rows or HOT_ROWS)
+        joined = null_safe_join(df, F.broadcast(limits), keys, "left")
+        chunk = F.when(F.col("__limits").isNull(), F.lit(-1)).otherwise(_locate(F.col("__limits"), F.struct(*order)))
+        return cls(joined.withColumn(_CHUNK, chunk).drop("__limits"), keys, order, limits)
 
     def transform(self, **columns: Column) -> Ordered:
         return replace(self, frame=self.frame.withColumns(columns))
 
     def scan(self, **scans: Scan) -> Ordered:
-        if not self.chunked:
-            w = Window.partitionBy(*self.keys).orderBy(*self.order)
-            return replace(self, frame=self.frame.withColumns({n: s.local(w) for n, s in scans.items()}))
-
         group = [*self.keys, _CHUNK]
         w = Window.partitionBy(*group).orderBy(*self.order)
         local = {n: s.local(w) for n, s in scans.items()}
@@ -161,8 +152,9 @@ class Ordered:
         detail = self.frame.withColumns(local)
 
         # One row for about every HOT_ROWS rows of the hot keys, so it is broadcast and the detail keeps its partitioning
-        # for the next scan. Ordinary keys (chunk -1) need no carry.
-        sums = (self.frame.where(F.col(_CHUNK) >= 0).groupBy(*group)
+        # for the next scan. Ordinary keys need no carry; the semi-join lets all of this vanish where there are no others.
+        split = null_safe_join(self.frame, F.broadcast(self.limits), self.keys, "left_semi")
+        sums = (split.groupBy(*group)
                 .agg(*[s.summary(list(self.order)).alias(f"__s_{n}") for n, s in scans.items()]))
         over = Window.partitionBy(*self.keys).orderBy(_CHUNK)
         carries = sums.select(*group, *[s.carry(F.col(f"__s_{n}"), over).alias(f"__c_{n}") for n, s in scans.items()])
@@ -181,30 +173,16 @@ class Ordered:
 
     @property
     def df(self) -> DataFrame:
-        return self.frame.drop(_CHUNK)
+        return self.frame.drop(_CHUNK, _ONE)
 
 
-def _chunk_limits(probe: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], hot_rows: int) -> DataFrame | None:
-    """One row per hot key with the ascending limits of its chunks, or None when no key is hot.
+def _chunk_limits(probe: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], hot_rows: int) -> DataFrame:
+    """One row per hot key with the ascending limits of its chunks.
 
-    Counting, sampling and ranking run in Spark; a key's sample is ``SAMPLE_PER_CHUNK / hot_rows`` of its rows.
+    A row is picked with probability ``SAMPLE_PER_CHUNK / hot_rows`` by a hash of its order columns, before anything is
+    shuffled; of a key's picks every ``SAMPLE_PER_CHUNK``-th is a limit, so a key with fewer picks is not hot.
     """
-    spark = probe.sparkSession
-    hot = (probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
-           .select(*keys, F.lit(1).alias("__hot")))
-    value = F.struct(*order).alias("__v")
-    if keys:
-        rows = null_safe_join(probe, hot, keys, "left_semi")
-    else:  # one row that says whether the table as a whole is hot
-        rows = null_safe_join(probe.withColumn(_ONE, F.lit(1)), hot.withColumnRenamed("__hot", _ONE), [_ONE], "left_semi")
-    group = list(keys) or [_ONE]
-    picked = (rows if keys else rows.withColumn(_ONE, F.lit(1))).where(
-        F.rand(7) < min(1.0, SAMPLE_PER_CHUNK / hot_rows)).select(*group, value)
-    ranked = picked.withColumn("__r", F.row_number().over(Window.partitionBy(*group).orderBy("__v")))
     step = min(SAMPLE_PER_CHUNK, hot_rows)
-    limits = (ranked.where(F.col("__r") % step == 0).groupBy(*group)
-              .agg(F.array_sort(F.collect_set("__v")).alias("__limits")))
-    path = work_path(spark, "limits")
-    limits.select(*keys, "__limits").write.parquet(path)
-    stored = spark.read.schema(limits.select(*keys, "__limits").schema).parquet(path)
-    return stored if stored.take(1) else None
+    picked = F.pmod(F.xxhash64(*order), F.lit(hot_rows)) < step
+    each = F.filter(F.array_sort(F.collect_set(F.struct(*order))), lambda _, i: (i + 1) % step == 0)
+    return probe.where(picked).groupBy(*keys).agg(each.alias("__limits")).where(F.size("__limits") > 0)
