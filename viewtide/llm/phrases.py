@@ -33,8 +33,8 @@ from viewtide.llm.common import forget, is_empty, store
 LONGEST = 5
 LEAST = 100             # occurrences of a candidate
 FIRST = 2_000           # phrases of a language
-BLOCK_BYTES = 1 << 20   # texts hashed together
-MERGE_ROWS = 1 << 21    # fingerprints a task holds before it hands them on
+BLOCK_BYTES = 1 << 18   # texts hashed together
+MERGE_ROWS = 1 << 19    # fingerprints a task holds before it hands them on
 FILTER_BITS = 26
 FP_BITS = 64            # tests use fewer to provoke collisions
 CHECK_BITS = 28         # sums of the second hash stay exact up to 2**35 occurrences
