@@ -153,9 +153,72 @@ def test_keep_one_compares_sets_that_the_chain_separates(spark):
     rows = [(1, " ".join(left) + " a b c", "x", 1), (2, " ".join(base), "x", 1), (3, " ".join(right) + " d", "x", 1)]
     assert not simhash.similar(*(simhash.shingle_set(rows[k][1]) for k in (0, 2)))
     assert [r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, DDL)).collect()] == [1]
-    sigs = [simhash.signature(simhash.shingle_set(t)).tobytes() for _, t, *_ in rows]
-    pdf = pd.DataFrame({"sh": [7, 5, 6], "root": [7, 5, 5], "sig": sigs})
-    assert (5, 7) in set(map(tuple, simhash.unlinked_pairs(pdf).to_numpy().tolist()))
+    sets = [simhash.shingle_set(t) for _, t, *_ in rows]
+    pdf = pd.DataFrame({"bucket": 1, "a": 0, "b": 0, "sh": [7, 5, 6], "root": [7, 5, 5],
+                        "sig": [simhash.signature(s).tobytes() for s in sets], "shingles": [s.tobytes() for s in sets]})
+    assert sorted(simhash.unlinked_sets(pdf)["sh"]) == [5, 6, 7]
+    assert simhash.similar_sets(pdf).to_numpy().tolist() == [[5, 7]]
+
+
+def template(rng, n, words=60, changed=3):
+    """Pages of one template, each with its own words in one place: Jaccard about 0.78 unless the place is near the edge."""
+    base = [f"w{k}" for k in range(words)]
+    out = []
+    for i in range(n):
+        at = rng.randrange(words - changed)
+        out.append(" ".join(base[:at] + [f"x{i}y{k}" for k in range(changed)] + base[at + changed:]))
+    return out
+
+
+@pytest.mark.parametrize("n", [100, 300])
+def test_similar_sets_of_a_template_match_brute_force_and_are_a_forest(n):
+    rng = random.Random(n)
+    docs = template(rng, n) + [" ".join(edited(rng, template(rng, 1)[0].split(), 1)) for _ in range(n // 10)]
+    sets = [simhash.shingle_set(t) for t in docs]
+    pdf = pd.DataFrame({"sh": range(len(docs)), "root": range(len(docs)), "shingles": [s.tobytes() for s in sets]})
+    links = simhash.similar_sets(pdf)
+    true = [(i, j) for i in range(len(docs)) for j in range(i) if simhash.similar(sets[i], sets[j])]
+    assert components_of(len(docs), links.to_numpy().tolist()) == components_of(len(docs), true)
+    assert len(links) < len(docs) and len(true) > 10 and all((j, i) in {(min(p), max(p)) for p in true} for j, i in links.to_numpy().tolist())
+
+
+def components_of(n, links):
+    own = list(range(n))
+
+    def root(i):
+        while own[i] != i:
+            i = own[i]
+        return i
+
+    for i, j in links:
+        own[max(root(i), root(j))] = min(root(i), root(j))
+    return [root(i) for i in range(n)]
+
+
+def test_blocks_meet_pairwise(spark):
+    rows = spark.range(3 * simhash.BLOCK).selectExpr("7L as bucket", "id as sh", "id as root")
+    met = simhash.blocked(rows).groupBy("a", "b").count().collect()
+    assert sorted((r.a, r.b) for r in met) == [(0, 1), (0, 2), (1, 2)] and sum(r["count"] for r in met) == 6 * simhash.BLOCK
+    one = simhash.blocked(rows.limit(50))
+    assert one.count() == 50 and one.where("a = 0 and b = 0").count() == 50
+
+
+def test_rows_of_templated_pages_grow_with_their_number(spark, monkeypatch):
+    """Nothing that near-dedup writes or emits for a template grows with the square of its pages."""
+    written = {}
+    plain = simhash.store
+    for n in (150, 300):
+        counts = written.setdefault(n, {})
+
+        def counting(df, name):
+            out = plain(df, name)
+            counts[name] = counts.get(name, 0) + out.count()
+            return out
+
+        monkeypatch.setattr(simhash, "store", counting)
+        docs = [(i, t, "x", 1) for i, t in enumerate(template(random.Random(1), n))]
+        simhash.keep_one(spark.createDataFrame(docs, DDL)).collect()
+    assert all(written[300][k] <= 2.6 * written[150][k] + 10 for k in written[300])
 
 
 def test_shingle_set_and_signature_match_brute_force():

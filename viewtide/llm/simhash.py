@@ -10,9 +10,10 @@ a task; each such pair is then finished inside one task over two sorted arrays.
 SimHash cannot find the latter: at Jaccard 0.8 two fingerprints differ in about 10 of 64 bits, and a trie join at that
 budget prunes nothing. ``keep_one`` therefore adds MinHash: distinct shingle sets meet in buckets of ``BANDS`` bands of
 ``BAND_ROWS`` values, which is expected to miss 0.04 % of the pairs at 0.8 and fewer above. A bucket's sets are first compared along a
-chain by size, so a large group of copies costs one pair a copy; then all pairs of a bucket that are not in one group
-yet. A pair whose signatures agree in at least ``LIKELY`` is confirmed on the shingles of the whole texts. Work grows with
-the square of a bucket only for sets in it that are not linked.
+chain by size, so a large group of copies costs one pair a copy. Where a bucket still holds several groups, blocks of its
+sets meet in tasks, which find all sets with a likely neighbour in another group (signatures agree in at least ``LIKELY``) and
+then decide every two of these on the shingles of their whole texts. They emit links that join groups, as a forest, and
+nothing else. A bucket of k blocks is sent k - 1 times, and compared in k * (k - 1) / 2 tasks.
 
 Defined results: a null or empty text has fingerprint zero, which is linked like any other; rows with equal fingerprints are
 linked without a join; repeated rows stay, one result row for each; a null id takes part and yields a null component only
@@ -40,6 +41,8 @@ FRONTIER = 1 << 19      # node pairs a task expands at once
 
 WORDS = 5               # shingles of the pipeline's stage
 BANDS, BAND_ROWS = 20, 5
+BLOCK = 1_024           # sets of a bucket that are compared with each other or with another block in one task
+DENSE = 64              # sets with a shingle from which a task counts it by a matrix product
 LIKELY = 0.6            # least agreement of two signatures; at Jaccard 0.8 it is lower once in a million pairs
 _RNG = np.random.default_rng(SEED)
 _FLIP, _ODD = (_RNG.integers(0, 2**64, (BANDS * BAND_ROWS, 1), np.uint64) for _ in range(2))
@@ -313,17 +316,80 @@ def confirmed(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b)], dtype=bool)
 
 
-def unlinked_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one bucket whose sets are in different groups and whose signatures are likely to be similar."""
-    sh, root = pdf["sh"].to_numpy(), pdf["root"].to_numpy()
+def unlinked_sets(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The sets of a block beside which a set of another group has a likely similar signature."""
+    group = pdf["root"].to_numpy()
     sig = np.stack([np.frombuffer(x, np.uint32) for x in pdf["sig"]])
-    names, sizes = np.unique(root, return_counts=True)
-    out = []
-    for i in np.flatnonzero(root != names[sizes.argmax()]):  # every pair has an end outside the largest group
-        j = np.flatnonzero(root != root[i])
-        j = j[(sig[j] == sig[i]).mean(axis=1) >= LIKELY]
-        out.append(np.stack([np.minimum(sh[i], sh[j]), np.maximum(sh[i], sh[j])], axis=1))
-    return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 2), np.int64), columns=["x", "y"])
+    near = np.zeros(len(sig), bool)
+    for i in range(len(sig)):
+        others = np.flatnonzero(group != group[i])
+        near[i] = bool(((sig[others] == sig[i]).mean(axis=1) >= LIKELY).any())
+    return pdf.loc[near, ["bucket", "a", "b", "sh", "root"]]
+
+
+def shared_changes(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Against the set of all shingles that most of ``sets`` hold: in how many shingles each differs, and how many of
+    these differences each two have in common. Sets of one template differ from it in few."""
+    m = len(sets)
+    owner = np.repeat(np.arange(m), [len(s) for s in sets])
+    _, shingle, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = count * 2 > m
+    changes = np.bincount(owner[~common[shingle]], minlength=m) + common.sum() - np.bincount(owner[common[shingle]], minlength=m)
+    shared = np.zeros((m, m), np.int32)
+    order = np.argsort(shingle, kind="stable")
+    ends = np.cumsum(count)
+    few = (count > 1) & ~common & (count < DENSE)
+    for e in np.flatnonzero(few):
+        who = owner[order[ends[e] - count[e]:ends[e]]]
+        shared[np.ix_(who, who)] += 1
+    for kind in (common, ~common & (count >= DENSE)):
+        places = np.flatnonzero(kind)
+        for start in range(0, len(places), 1024):
+            some = places[start:start + 1024]
+            held = np.zeros((len(some), m), np.float32)
+            for k, e in enumerate(some):
+                held[k, owner[order[ends[e] - count[e]:ends[e]]]] = 1
+            if kind is common:
+                held = 1 - held
+            shared += np.rint(held.T @ held).astype(np.int32)
+    return changes, shared
+
+
+def similar_sets(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links between the sets of a block with Jaccard similarity 0.8 or more, as a spanning forest of those that join groups.
+
+    x and y differ in changes(x) + changes(y) - 2 * shared(x, y) shingles, which decides for all pairs at once.
+    """
+    sh, root = pdf["sh"].to_numpy(), pdf["root"].to_numpy()
+    sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+    size = np.array([len(s) for s in sets])
+    changes, shared = shared_changes(sets)
+    linked = 9 * (changes[:, None] + changes - 2 * shared) <= size[:, None] + size
+    parent, fresh_ = np.full(len(sh), -1), np.ones(len(sh), bool)
+    for start in range(len(sh)):
+        if not fresh_[start]:
+            continue
+        fresh_[start], edge = False, np.array([start])
+        while len(edge):
+            reach = linked[edge] & fresh_
+            new = np.flatnonzero(reach.any(axis=0))
+            parent[new] = edge[reach[:, new].argmax(axis=0)]
+            fresh_[new], edge = False, new
+    child = np.flatnonzero(parent >= 0)
+    child = child[root[child] != root[parent[child]]]
+    x, y = sh[child], sh[parent[child]]
+    return pd.DataFrame({"x": np.minimum(x, y), "y": np.maximum(x, y)}, dtype="int64")
+
+
+def blocked(rows: DataFrame) -> DataFrame:
+    """``rows`` of buckets with ``a``, ``b``: a bucket is cut into blocks of about ``BLOCK`` sets by a hash, and each two of its
+    blocks, or its only one, are a task's share. A row of a bucket with k blocks comes k - 1 times."""
+    sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("sh"), F.col("blocks")).cast("int")
+    return (rows.join(sizes, "bucket").withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .where("blocks = 1 or other != own")
+            .withColumn("a", F.least("own", "other")).withColumn("b", F.greatest("own", "other")).drop("own", "other", "blocks"))
 
 
 def both_ends(pairs: DataFrame, sets: DataFrame, col: str) -> DataFrame:
@@ -332,21 +398,43 @@ def both_ends(pairs: DataFrame, sets: DataFrame, col: str) -> DataFrame:
             .join(sets.select(F.col("sh").alias("y"), F.col(col).alias("b")), "y"))
 
 
+def whole_sets(some: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``sh``, ``shingles`` of the distinct ``sh`` of ``some``, by the whole text of one row of each, stored."""
+    rows = some.select("sh").distinct().join(sets, "sh").select("sh", F.col("w.doc_id").alias("w_id"), F.col("w.row").alias("w_row"))
+    texts = docs.select(F.col(id_col).alias("d_id"), row_hash(docs).alias("d_row"), F.col(text_col).alias("text"))
+    found = rows.join(texts, F.col("w_id").eqNullSafe(F.col("d_id")) & (F.col("w_row") == F.col("d_row")))
+    return store(found.dropDuplicates(["sh"]).select("sh", shingle_bytes("text").alias("shingles")), "shingles")
+
+
 def confirmed_links(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The pairs ``x``, ``y`` of shingle sets with Jaccard similarity 0.8 or more, by the whole text of one row of each."""
+    """The pairs ``x``, ``y`` of shingle sets with Jaccard similarity 0.8 or more."""
     near = store(both_ends(pairs, sets, "sig").where(likely("a", "b")).select("x", "y"), "likely")
     if is_empty(near):
         return near
-    ends = near.select(F.explode(F.array("x", "y")).alias("sh")).distinct()
-    rows = ends.join(sets, "sh").select("sh", F.col("w.doc_id").alias("w_id"), F.col("w.row").alias("w_row"))
-    texts = docs.select(F.col(id_col).alias("d_id"), row_hash(docs).alias("d_row"), F.col(text_col).alias("text"))
-    found = rows.join(texts, F.col("w_id").eqNullSafe(F.col("d_id")) & (F.col("w_row") == F.col("d_row")))
-    whole = store(found.dropDuplicates(["sh"]).select("sh", shingle_bytes("text").alias("shingles")), "shingles")
+    ends = near.select(F.col("x").alias("sh")).unionByName(near.select(F.col("y").alias("sh")))
+    whole = whole_sets(ends, sets, docs, id_col, text_col)
     links = store(both_ends(near, whole, "shingles").where(confirmed("a", "b")).select("x", "y"), "similar")
     forget(near, whole)
     return links
 
 
+def block_links(mixed: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Links ``x``, ``y`` that join groups within the buckets ``mixed`` (``bucket``, ``sh``, ``root``).
+
+    No pair leaves a task unless it is such a link: the first pass over a block's signatures leaves sets, not pairs, and the
+    second compares their shingles.
+    """
+    share = ["bucket", "a", "b"]
+    near = store(blocked(mixed).join(sets.select("sh", "sig"), "sh").groupBy(*share).applyInPandas(
+        unlinked_sets, "bucket bigint, a int, b int, sh bigint, root bigint"), "unlinked")
+    if is_empty(near):
+        return near.select(F.col("sh").alias("x"), F.col("sh").alias("y"))
+    whole = whole_sets(near, sets, docs, id_col, text_col)
+    links = store(near.join(whole, "sh").groupBy(*share).applyInPandas(similar_sets, "x bigint, y bigint").distinct(), "similar")
+    forget(near, whole)
+    return links
+
+
 def set_groups(narrow: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``node``, ``root`` of every shingle set that is linked with another, by fingerprint or by similarity."""
     of_fp = store(narrow.select("fp", "sh").distinct(), "sets-of-fingerprints")
@@ -369,9 +457,7 @@ def set_groups(narrow: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str,
 
     named = shared.join(comp, F.col("sh") == F.col("node"), "left").select("bucket", "sh", F.coalesce("root", "sh").alias("root"))
     mixed = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-    rest = (named.join(mixed, "bucket", "left_semi").join(sets.select("sh", "sig"), "sh")
-            .groupBy("bucket").applyInPandas(unlinked_pairs, "x bigint, y bigint").distinct().join(pairs, ["x", "y"], "left_anti"))
-    more = confirmed_links(rest, sets, docs, id_col, text_col)
+    more = block_links(named.join(mixed, "bucket", "left_semi"), sets, docs, id_col, text_col)
     if not is_empty(more):
         comp = components(comp.select(F.col("node").alias("x"), F.col("root").alias("y")).unionByName(more))
     forget(of_fp, first, shared, pairs)
