@@ -66,11 +66,32 @@ def test_forest_recall_ties_and_copies(spark, rows):
 
 
 def test_forest_is_a_prefix_search():
-    x = clustered(800, seed=2).astype(float)
+    """Exactly the vectors that share a long enough prefix in some tree, whatever the part's size."""
+    x = clustered(300, seed=2).astype(float)
     forest = lsh_forest.Forest(x, trees=6)
-    chosen = forest.candidates(x[:20], 100)
-    assert (chosen.sum(axis=1) >= 100).all() and (chosen.sum(axis=1) < 800).any()
-    assert chosen[np.arange(20), np.arange(20)].all()
+    chosen = forest.candidates(x[:20], 60)
+    assert (chosen.sum(axis=1) >= 60).all() and (chosen.sum(axis=1) < 300).any()
+    for i in range(20):
+        shared = np.zeros(300, int)
+        for h, middle, keys, order in forest.trees:
+            own = lsh_forest.strings(x[i:i + 1] @ h > middle)[0]
+            bits = np.array([64 - int(own ^ k).bit_length() for k in keys])
+            shared[order] = np.maximum(shared[order], bits)
+        depth = max(d for d in range(65) if (shared >= d).sum() >= 60)
+        assert (chosen[i] == (shared >= depth)).all()
+
+
+@pytest.mark.parametrize("n", [400, 1500, 6000])
+def test_forest_recall_with_vectors_left_out(n):
+    """Without clusters, as in the given table, at several sizes: recall of the candidates, of which there are far fewer
+    than vectors."""
+    x = np.random.default_rng(n).standard_normal((n, 24))
+    q = x[:60]
+    mask = lsh_forest.Forest(x).candidates(q, int(np.ceil(lsh_forest.SHARE * n)))
+    d = ((x[None] - q[:, None]) ** 2).sum(axis=2)
+    d[np.arange(60), np.arange(60)] = np.inf
+    recall = np.take_along_axis(mask, np.argsort(d, axis=1)[:, :10], axis=1).mean()
+    assert recall >= 0.9 and mask.mean() < 0.6
 
 
 def test_few_candidates_return_all(spark):

@@ -6,8 +6,8 @@ all trees ascend together, one bit at a time, and every vector that shares the p
 until there are enough. Candidates are ranked by their exact distance.
 
 The vectors are dealt over parts of bounded size by hash, each with its own forest; every query searches every part,
-in blocks, and the best of all parts are merged. A part's number of candidates is ``SHARE`` of its vectors (``LEAST`` at
-least): embeddings without cluster structure put true neighbours barely nearer than the rest, so a fixed number would lose
+in blocks, and the best of all parts are merged. A part's number of candidates is ``SHARE`` of its vectors (one more than ``k``
+at least), whatever its size: embeddings without cluster structure put true neighbours barely nearer than the rest, so a fixed number would lose
 recall as the table grows. All vectors at the depth where the ascent ends are candidates; there is no cap.
 
 Defined results: see ``vectors.usable`` for the rows that take part; a query with fewer candidates than ``k`` returns all of
@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame
 from viewtide.llm.common import store
 from viewtide.llm.vectors import best_ids, blocks, distinct_vectors, matrix, ranked, stored_queries, usable
 
-TREES = 24
+TREES = 160
 BITS = 64
-SHARE = 0.4
-LEAST = 64
+SHARE = 0.25
+PART_ROWS = 8_192       # distinct vectors of a part, at most on average
 SEED = 5
 AT_ONCE = 256           # queries of one pass over a part
 
@@ -84,14 +84,14 @@ class Forest:
         return chosen
 
 
-def search(k: int, trees: int = TREES, share: float = SHARE, least: int = LEAST):
+def search(k: int, trees: int = TREES, share: float = SHARE):
     """Function of a part's vectors and a block of queries: the part's ``k`` best candidates of each query."""
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
             x, ids = matrix(left["v"]), left["ids"].to_numpy()
             forest = Forest(x, trees)
-            enough = max(least, int(np.ceil(share * len(x))))
+            enough = max(k + 1, int(np.ceil(share * len(x))))
             queries, names = matrix(right["v"]), right["query_id"].to_numpy()
             for start in range(0, len(names), AT_ONCE):
                 q = queries[start:start + AT_ONCE]
@@ -120,7 +120,7 @@ def nearest(table: DataFrame, k: int = 10, step: int = 100, id_col: str = "vec_i
     ``score`` (Euclidean distance)."""
     rows = usable(table, id_col, vector_col, zero=False)
     queries = stored_queries(rows, step)
-    left, right = blocks(store(distinct_vectors(rows, k + 1), "vectors"), queries)
+    left, right = blocks(store(distinct_vectors(rows, k + 1), "vectors"), queries, part_rows=PART_ROWS)
     keys = ["part", "block"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         search(k, trees, share), "query_id bigint, vec_id bigint, score double")

@@ -38,10 +38,10 @@ def distinct_vectors(rows: DataFrame, ids: int) -> DataFrame:
     return few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
 
 
-def blocks(distinct: DataFrame, queries: DataFrame, part=None) -> tuple[DataFrame, DataFrame]:
+def blocks(distinct: DataFrame, queries: DataFrame, part=None, part_rows: int = PART_ROWS) -> tuple[DataFrame, DataFrame]:
     """Both sides with ``part`` and ``block``: every part of the vectors meets every block of the queries once."""
     n, q = distinct.count(), queries.count()
-    parts, groups = max(LEAST_PARTS, -(-n // PART_ROWS)), max(1, -(-q // QUERY_ROWS))
+    parts, groups = max(1, -(-n // part_rows)), max(1, -(-q // QUERY_ROWS))
     left = (distinct if part is not None else distinct.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(parts)).cast("int")))
     left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     right = (queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))
