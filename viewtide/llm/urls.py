@@ -157,8 +157,8 @@ ranks(step, host, trust, distrust) AS (
     SELECT r.step, r.host, 0.0 AS t, 0.0 AS b FROM ranks r
     UNION ALL SELECT r.step, e.dst, r.trust / e.n_out, 0.0 FROM ranks r JOIN edges e ON e.src = r.host
     UNION ALL SELECT r.step, e.src, 0.0, r.distrust / e.n_in FROM ranks r JOIN edges e ON e.dst = r.host) f ON f.host = s.host
-  WHERE f.step < 20 GROUP BY s.host)
+  WHERE f.step < 400 GROUP BY s.host)
 SELECT j.page_id, j.host, j.path, j.rule,
-  coalesce(j.ruled, CASE WHEN round(k.distrust - k.trust, 12) > 0 THEN 'block' ELSE 'allow' END) AS verdict
-FROM j LEFT JOIN (SELECT * FROM ranks WHERE step = 20) k ON k.host = j.host
+  coalesce(j.ruled, CASE WHEN k.distrust > k.trust * (1 + 1e-9) THEN 'block' ELSE 'allow' END) AS verdict
+FROM j LEFT JOIN (SELECT * FROM ranks WHERE step = 400) k ON k.host = j.host
 """
