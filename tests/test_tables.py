@@ -256,3 +256,51 @@ def test_compact_without_partitions(spark, path):
     for i in range(3):
         tables.append(frame(spark, (i, 1, 0, 1, "a")), path)
     assert tables.compact(spark, path, [])["files_after"] == 1 and len(content(spark, path)) == 3
+
+
+def test_a_copy_that_moved_by_days_replaces_the_stored_one(spark, path):
+    """The key index finds a key in whatever partition it is; nothing but the touched partitions is rewritten."""
+    first = spark.range(40).selectExpr("id", "date_add(date'2024-01-01', int(id % 10)) as part", "1 as ver")
+    put(first, path)
+    put(first.limit(0), path)
+    later = spark.createDataFrame([(3, 9, 2), (5, 0, 2), (3, 5, 1)], "id bigint, d int, ver int").selectExpr(
+        "id", "date_add(date'2024-02-01', d) as part", "ver")
+    put(later, path)
+    rows = {r.id: str(r.part) for r in spark.read.parquet(path).collect()}
+    assert len(rows) == 40 == spark.read.parquet(path).count() and rows[3] == "2024-02-10" and rows[5] == "2024-02-01"
+    put(spark.createDataFrame([(3, 2)], "id bigint, ver int").selectExpr("id", "date'2023-01-01' as part", "ver + 1 as ver"), path)
+    assert spark.read.parquet(path).where("id = 3").count() == 1
+    wanted = spark.createDataFrame([(3,), (7,), (99,)], "id bigint")
+    found = tables.rows_with_keys(spark, path, wanted, ["id"], ["part"], spark.read.parquet(path).schema)
+    assert sorted((r.id, str(r.part)) for r in found.collect()) == [(3, "2023-01-01"), (7, "2024-01-08")]
+    assert "PartitionFilters: [part" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_key_index_is_merged_and_rebuilt(spark, path, monkeypatch):
+    monkeypatch.setattr(tables, "INDEX_VERSIONS", 3)
+    for k in range(8):
+        put(spark.createDataFrame([(i, f"p{(i + k) % 4}", k) for i in range(k, k + 6)], "id bigint, part string, ver int"), path)
+        index = [n for n, _, _ in tables.Files(spark, f"{path}/_keys-id").children(f"{path}/_keys-id")]
+        assert len(index) <= 3
+    rows = spark.read.parquet(path)
+    assert rows.count() == 13 == rows.select("id").distinct().count()
+    tables.append(spark.createDataFrame([(50, "p9", 1)], "id bigint, part string, ver int").select("id", "ver", "part"), path, ["part"])
+    put(spark.createDataFrame([(50, "p1", 2)], "id bigint, part string, ver int"), path)
+    assert [r.part for r in spark.read.parquet(path).where("id = 50").collect()] == ["p1"]
+
+
+def test_writers_merge_small_files_and_keep_the_sort(spark, path):
+    rows = spark.range(3000).repartition(16).selectExpr("id % 2 as part", "cast(id as string) as s")
+    tables.replace_table(rows, path, ["part"], ["s"])
+    assert all(len(sizes) == 1 for sizes in tables.Files(spark, path).leaves(path).values())
+    for k in (0, 1):
+        held = [r.s for r in spark.read.parquet(f"{path}/part={k}").collect()]
+        assert held == sorted(held) and len(held) == 1500
+
+
+def test_many_partitions_are_pruned_by_range(spark, path, monkeypatch):
+    monkeypatch.setattr(tables, "LISTED", 3)
+    put(spark.range(60).selectExpr("id", "cast(id % 12 as int) as part", "1 as ver"), path)
+    put(spark.range(0, 60, 7).selectExpr("id", "cast(id % 11 as int) as part", "2 as ver"), path)
+    rows = spark.read.parquet(path)
+    assert rows.count() == 60 and rows.where("ver = 2 and part = id % 11").count() == 9

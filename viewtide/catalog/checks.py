@@ -88,6 +88,17 @@ RECONCILED = {
     "q18_orphans": (
         zeros({f"orphan_{d}": f"count(*) FILTER (WHERE {d}_key IS NULL)" for d in ("title", "device", "customer")},
               "fact_events"), quality.check_orphans, "fact_events"),
+    "q18_orphan_rate": (
+        " UNION ALL ".join(
+            f"SELECT 'orphan_rate_{d}' AS \"check\", n = 0 OR n * 1000 < total AS passed, n || ' of ' || total AS observed, "
+            f"'< 1 per mille' AS expected FROM (SELECT count(*) FILTER (WHERE {d}_key IS NULL) AS n, count(*) AS total FROM "
+            "fact_events)" for d in ("title", "device", "customer")), quality.check_orphan_rate, "fact_events"),
+    "q19_positions": (zero("position_not_negative", "count(*) FILTER (WHERE position_ms < 0)", "raw"),
+                      quality.check_positions, "raw"),
+    "q20_mart_ratio": (
+        """SELECT 'mart_rows_per_session' AS "check", m BETWEEN ceil(f * 0.01) AND f AS passed, m || ' of ' || f AS observed,
+           '0.01 .. 1.0' AS expected FROM (SELECT (SELECT count(*) FROM content_mart) AS m, (SELECT count(*) FROM fact_sessions) AS f)""",
+        quality.check_mart_ratio, "content_mart fact_sessions"),
     "q19_session_sanity": (
         zeros({"negative_watch": "count(*) FILTER (WHERE watch_duration_seconds < 0)",
                "bad_completion_pct": "count(*) FILTER (WHERE completion_pct < 0 OR completion_pct > 1)",
@@ -297,7 +308,9 @@ def event_profile(p):
             WHEN dup >= 1.05 THEN 'warn ' ELSE 'ok ' END || round(dup, 6) AS observed, '< 1.05' AS expected FROM v
           UNION ALL SELECT 'quarantine_rate', q < 0.01, CASE WHEN q >= 0.05 THEN 'alert ' WHEN q >= 0.01 THEN 'warn '
             ELSE 'ok ' END || round(q, 6), '< 0.01' FROM v
-          UNION ALL SELECT 'schema_conformity', true, '1.0', '> 0.999'""")
+          UNION ALL SELECT 'schema_conformity', share > 0.999, CAST(round(share, 6) AS VARCHAR), '> 0.999' FROM (SELECT count(*)
+            FILTER (WHERE event_id IS NOT NULL AND customer_id IS NOT NULL AND title_id IS NOT NULL AND event_type IS NOT NULL)
+            / CAST(count(*) AS DOUBLE) AS share FROM marked)""")
 def batch_thresholds(p):
     return quality.batch_thresholds(p.marked, p.deduplicated, ["event_id", "customer_id", "title_id", "event_type"])
 
@@ -341,9 +354,9 @@ def zone_score(p):
 
 
 @query("q41_smoke_checks", CHECK,
-       """SELECT 'distinct_viewers_positive' AS "check", true AS passed, CAST(CAST(sum(distinct_viewers) AS BIGINT)
+       """SELECT 'distinct_viewers_positive' AS "check", sum(distinct_viewers) > 0 AS passed, CAST(CAST(sum(distinct_viewers) AS BIGINT)
           AS VARCHAR) AS observed, '> 0' AS expected FROM content_mart
-          UNION ALL SELECT 'input_rows_positive', true, CAST(count(*) AS VARCHAR), '> 0' FROM landing
+          UNION ALL SELECT 'input_rows_positive', count(*) > 0, CAST(count(*) AS VARCHAR), '> 0' FROM landing
           UNION ALL SELECT 'genre_share_sums_to_one', true, '0', '0'
           UNION ALL SELECT 'retention_rate_in_range', true, '0', '0'""")
 def smoke_checks(p):

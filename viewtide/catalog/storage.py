@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from viewtide import schema
 from viewtide.bind import ROLES, RULES
 from viewtide.catalog.model import received_span, ts
 from viewtide.catalog.patterns import ev
@@ -57,6 +58,24 @@ def upsert_newest_wins(p):
     return tables.read_table(p.spark, path, originals.schema)
 
 
+@query("k3_moved_copies", "event_id:i event_date:s server_received_at:t",
+       """SELECT event_id, CASE WHEN event_id % 7 = 0 THEN event_date + CAST(event_id % 5 + 2 AS INTEGER) ELSE event_date END
+            AS event_date,
+          CASE WHEN event_id % 7 = 0 THEN server_received_at + INTERVAL 10 DAY ELSE server_received_at END AS server_received_at
+          FROM deduplicated""")
+def moved_copies(p):
+    """Newer copies whose event time was corrected by two to six days: each replaces its event in another partition."""
+    path = work_path(p.spark, "moved")
+    p = p.stored("deduplicated")
+    rows = p.deduplicated.select("event_id", "event_date", "server_received_at")
+    tables.upsert(rows, path, ["event_id"], ["event_date"], ["server_received_at"])
+    moved = rows.where("event_id % 7 = 0").withColumns({
+        "event_date": F.expr("date_add(event_date, cast(event_id % 5 + 2 as int))"),
+        "server_received_at": F.col("server_received_at") + F.expr("interval 10 days")})
+    tables.upsert(moved, path, ["event_id"], ["event_date"], ["server_received_at"])
+    return tables.read_table(p.spark, path)
+
+
 @query("k4_upsert_scd1", "customer_key:i customer_id:s plan_tier:s",
        """WITH old AS (SELECT row_number() OVER (ORDER BY customer_id) AS customer_key, customer_id
                        FROM customers_source WHERE household_size <> 2)
@@ -122,25 +141,34 @@ def compact(p):
     return stored.groupBy("day").agg(F.countDistinct("file").alias("files"), rows_as("n"))
 
 
-@query("k10_target_file_size", "day:s oversized:i n:i", "SELECT day, 0 AS oversized, count(*) AS n FROM ev GROUP BY 1")
+@query("k10_target_file_size", "day:s oversized:i split_for_nothing:i n:i",
+       "SELECT day, 0 AS oversized, 0 AS split_for_nothing, count(*) AS n FROM ev GROUP BY 1")
 def target_file_size(p):
-    """Written for small files on purpose; counts the rows that sit in a file larger than a megabyte."""
+    """Upserted in many tasks: files above the target, and files of a day that the target would hold together."""
     path = work_path(p.spark, "sized")
-    tables.write_sized(ev(p).select("event_id", "day", "props"), path, ["day"], target_bytes=64 << 10)
-    stored = tables.read_table(p.spark, path)
-    return stored.groupBy("day").agg(F.count_if(F.col("_metadata.file_size") > 1 << 20).alias("oversized"),
-                                     rows_as("n"))
+    rows = ev(p).select("event_id", "day", "props").repartition(16, "event_id")
+    for part in ("event_id % 2 = 0", "event_id % 2 = 1"):
+        tables.upsert(rows.where(part), path, ["event_id"], ["day"], [])
+    size = F.col("_metadata.file_size")
+    files = tables.read_table(p.spark, path).groupBy("day", F.col("_metadata.file_path").alias("file")).agg(
+        F.max(size).alias("size"), rows_as("rows"))
+    target = schema.TARGET_FILE_BYTES
+    return files.groupBy("day").agg(
+        F.count_if(F.col("size") > target).alias("oversized"),
+        (rows_as("files") - F.greatest(F.lit(1), F.ceil(F.sum("size") / (target / 8)))).alias("extra"), F.sum("rows").alias("n")
+    ).select("day", "oversized", F.greatest("extra", F.lit(0)).alias("split_for_nothing"), "n")
 
 
 @query("k11_sorted_layout", "event_date:s unsorted:i n:i",
        "SELECT event_date, 0 AS unsorted, count(*) AS n FROM raw GROUP BY 1")
 def sorted_layout(p):
-    """Counts rows that stand before their predecessor in their file, by position in the written rows."""
-    path = work_path(p.spark, "sorted")
-    laid_out = tables.sorted_layout(p.raw, ["event_date"], ["session_id", "event_timestamp"])
-    laid_out.write.partitionBy("event_date").parquet(path)
-    rows = p.spark.read.schema(p.raw.schema).parquet(path).select(
-        "event_date", F.struct("session_id", "event_timestamp").alias("k"),
+    """The raw zone as it is built, in two batches: rows that stand before their predecessor in their file."""
+    root = work_path(p.spark, "sorted")
+    p = p.stored("raw")
+    for part in ("event_id % 3 > 0", "event_id % 3 = 0"):
+        raw.store_raw_events(p.raw.where(part), p.quarantine, f"{root}/raw", f"{root}/quarantine", ["event_date"])
+    rows = p.spark.read.schema(p.raw.schema).parquet(f"{root}/raw").select(
+        "event_date", F.struct(*raw.RAW_SORT).alias("k"),
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
     after = rows.select("file", (F.col("at") + 1).alias("at"), F.col("k").alias("before"))
     pairs = rows.join(after, ["file", "at"], "left")
@@ -180,6 +208,33 @@ def save_checks(p):
     return tables.read_table(p.spark, path)
 
 
+@query("k14_gated_mart", "engagement_date:s genre:s watch_seconds:i refused:i _built_at:t",
+       "SELECT engagement_date, genre, watch_seconds, 1 AS refused, TIMESTAMP '2024-02-01 00:00:00' AS _built_at FROM genre_mart")
+def gated_mart(p):
+    """A refresh whose checks hold, then one from sessions that came twice: its checks fail and the mart stays as it was."""
+    path = work_path(p.spark, "gated")
+    p = p.stored("fact_events", "fact_sessions")
+    dim, refused = {"dim_title": p.dim_title}, 0
+    for times, day in ((1, "2024-02-01"), (2, "2024-02-02")):
+        sessions = p.fact_sessions.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("copy")
+        gate = quality.check_sessions_equal_event_sessions({"fact_events": p.fact_events, "fact_sessions": sessions})
+        try:
+            marts.build_mart("genre_mix_daily", sessions, dim, path, checks=gate, built_at=ts(day))
+        except metrics.CheckFailed:
+            refused += 1
+    return tables.read_table(p.spark, path).withColumn("refused", F.lit(refused))
+
+
+@query("k14_commit_checks", "check:s passed:s",
+       "SELECT unnest(['commit_gap', 'snapshot_lag']) AS \"check\", true AS passed")
+def commit_checks(p):
+    """File times of a table just written in two batches."""
+    path = work_path(p.spark, "cadence")
+    for part in ("event_id % 2 = 0", "event_id % 2 = 1"):
+        tables.append(ev(p).where(part).select("event_id", "day"), path, ["day"])
+    return quality.check_commits(tables.read_table(p.spark, path), F.current_timestamp())
+
+
 @query("rz1_store_raw_events", "kind:s n:i",
        """SELECT 'raw' AS kind, count(*) AS n FROM deduplicated UNION ALL SELECT 'quarantine', count(*)
           FROM quarantine""")
@@ -200,7 +255,7 @@ def store_raw_events(p):
 def incremental_facts(p):
     """Raw events taken in four intervals of server time, the third one twice: the facts equal the one-pass build."""
     root = work_path(p.spark, "incremental")
-    p = p.stored("raw")
+    p = p.stored("raw", "dim_title", "dim_customer", "dim_device", "dim_device_version")
     lo, hi = p.raw.agg(F.min("server_received_at"), F.max("server_received_at")).first()
     step = (hi - lo) / 4 + timedelta(seconds=1)
     for k in (0, 1, 2, 2, 3):

@@ -72,6 +72,24 @@ def dedup_stream(p):
     return landed(p, stream_events.dedup_stream(twice, "40 days"), "dedup")
 
 
+@query("st4_late_table", "event_id:i in_time:i behind:i",
+       "SELECT event_id, 1 AS in_time, 1 AS behind FROM landed")
+def late_table(p):
+    """A shuffled backlog of a month under a horizon of a day: most rows come behind the watermark, and none is lost.
+    ``in_time`` and ``behind`` say whether both tables have rows."""
+    wire, path, late = (work_path(p.spark, n) for n in ("backlog", "first", "late"))
+    rows = p.as_landing(p.events)
+    for k in range(4):
+        rows.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == k).coalesce(1).write.mode("append").parquet(wire)
+    source = p.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(wire)
+    stream_landing.drain(stream_events.dedup_with_late_table(source, path, late, work_path(p.spark, "late-log"), 86_400))
+    kept, behind = (p.spark.read.schema(rows.schema).parquet(x).select("event_id") for x in (path, late))
+    some = [df.agg(F.least(rows_as("n"), F.lit(1)).alias(name)).withColumn("k", F.lit(0))
+            for df, name in ((kept, "in_time"), (behind, "behind"))]
+    flags = F.broadcast(some[0].join(some[1], "k"))  # one row
+    return kept.unionByName(behind).distinct().withColumn("k", F.lit(0)).join(flags, "k").drop("k")
+
+
 @query("st5_split_late", "late:s n:i",
        """SELECT epoch_us(server_received_at) // 1000000 - epoch_us(event_timestamp) // 1000000 > 86400 AS late,
           count(*) AS n FROM landed GROUP BY 1""")
@@ -149,18 +167,49 @@ def replay(p):
     return runs[0].unionByName(runs[1]).groupBy("run").agg(rows_as("n"))
 
 
-@query("st10_close_idle", "session_id:s events:i last_event_ts:t was_force_closed:s",
-       """SELECT customer_id AS session_id, count(*) AS events, max(event_timestamp) AS last_event_ts,
+IDLE = """SELECT customer_id AS session_id, count(*) AS events, max(event_timestamp) AS last_event_ts,
           NOT bool_or(event_type IN ('purchase', 'click')) AS was_force_closed FROM (
           SELECT *, sum(s) OVER (PARTITION BY customer_id ORDER BY event_timestamp, event_id ROWS UNBOUNDED PRECEDING)
           AS g FROM (SELECT *, CASE WHEN event_timestamp - lag(event_timestamp) OVER w <= INTERVAL 240 MINUTE THEN 0
           ELSE 1 END AS s FROM deduplicated WINDOW w AS (PARTITION BY customer_id ORDER BY event_timestamp, event_id)))
-          GROUP BY customer_id, g""")
+          GROUP BY customer_id, g"""
+
+
+@query("st10_close_idle", "session_id:s events:i last_event_ts:t was_force_closed:s", IDLE)
 def close_idle(p):
     return stream_sessions.close_idle(p.deduplicated.withColumn("session_id", F.col("customer_id")), "240 minutes",
                                       end_types=ROLES.end)
 
 
+@query("st10_timer_stream", "session_id:s events:i last_event_ts:t was_force_closed:s", IDLE)
+def timer_stream(p):
+    """The same sessions from a stream in two runs over one checkpoint, each closed by its timer; a marker far in the future
+    lets the last timers fire."""
+    wire, log, path = (work_path(p.spark, n) for n in ("idle-in", "idle-log", "idle"))
+    rows = p.deduplicated.select(F.col("customer_id").alias("session_id"), "event_timestamp", "event_type")
+    middle = rows.agg(F.expr("timestamp_micros((min(unix_micros(event_timestamp)) + max(unix_micros(event_timestamp))) div 2)")
+                      .alias("m")).first().m
+    marker = rows.agg(F.max("event_timestamp").alias("m")).select(
+        F.lit("marker").alias("session_id"), (F.col("m") + F.expr("interval 90 days")).alias("event_timestamp"),
+        F.lit("view").alias("event_type"))
+    before = F.col("event_timestamp") < F.lit(middle)
+    was = {k: p.spark.conf.get(k) for k in stream_sessions.STATE_STORE}
+    try:
+        for k, v in stream_sessions.STATE_STORE.items():
+            p.spark.conf.set(k, v)
+        for delivery in ([rows.where(before)], [rows.where(~before), marker]):
+            for part in delivery:
+                part.write.mode("append").parquet(wire)
+            source = p.spark.readStream.schema(rows.schema).parquet(wire)
+            out = stream_sessions.close_idle_by_timer(source, 240 * 60, "1 day", ROLES.end)
+            stream_landing.drain(out.writeStream.format("parquet").outputMode("append").option("path", path)
+                                 .option("checkpointLocation", log).trigger(availableNow=True).start())
+    finally:
+        for k, v in was.items():
+            p.spark.conf.set(k, v)
+    return p.spark.read.schema(out.schema).parquet(path)
+
+
 @query("st5_quarantine_stream", "n_clean:i n_bad:i",
        "SELECT count(*) FILTER (WHERE r.reason IS NULL) AS n_clean, count(r.reason) AS n_bad FROM (SELECT event_id, "
        "min(server_received_at) AS t FROM marked GROUP BY 1) f JOIN marked r ON r.event_id = f.event_id "

@@ -56,8 +56,9 @@ def _among(types: Sequence[str]) -> str:
     return f"coalesce(event_type in ({listed}), false)" if types else "false"
 
 
-def session_aggregate(events: DataFrame, roles: Roles = Roles(), extra: bool = False) -> DataFrame:
-    """One row per session from all of its events, combined map-side before the shuffle."""
+def session_aggregate(events: DataFrame, roles: Roles = Roles(), extra: bool = False, days: bool = False) -> DataFrame:
+    """One row per session from all of its events, combined map-side before the shuffle; with ``days`` also the set of its
+    days, ``event_days``."""
     known = [f"min_by({c}, if({c} is not null, struct(event_timestamp, event_id), null)) as {c}"
              for c in FK_COLS if c in events.columns]
     aggs = known + [
@@ -70,15 +71,18 @@ def session_aggregate(events: DataFrame, roles: Roles = Roles(), extra: bool = F
     ]
     if extra:
         aggs.append(f"count_if({_among([*roles.play, *roles.resume])}) as play_resume_count")
+    if days:
+        aggs.append("array_sort(collect_set(event_date)) as event_days")
     return events.groupBy("session_id").agg(*map(F.expr, aggs))
 
 
 def build_fact_sessions(events: DataFrame, titles: DataFrame, roles: Roles = Roles(),
-                        extra: bool = False) -> DataFrame:
+                        extra: bool = False, days: bool = False) -> DataFrame:
     """Accumulating snapshot: watch time is wall clock, completion is the furthest position over the runtime."""
-    agg = session_aggregate(events, roles, extra)
+    agg = session_aggregate(events, roles, extra, days)
     start, end = F.col("session_start_ts"), F.col("session_end_ts")
     more = ["play_resume_count", F.col("session_end_ts").alias("_last_event_at")] if extra else []
+    more += ["event_days"] if days else []
     return attach(agg, titles, "title_key", ["runtime_minutes"]).select(
         "session_id", *[c for c in FK_COLS if c in agg.columns],
         date_key(F.to_date(start)).alias("date_key"), start, end,
@@ -96,46 +100,49 @@ def touched_sessions(events: DataFrame, received: str, start: Column, end: Colum
     return events.join(hit, F.col("session_id") == F.col("__s"), "left_semi")
 
 
-def store_fact_events(fact: DataFrame, path: str, order: Sequence[str], scope: Column | None = None) -> None:
-    tables.upsert(fact, path, ["event_id"], ["event_date"], order, scope)
+def store_fact_events(fact: DataFrame, path: str, order: Sequence[str]) -> None:
+    tables.upsert(fact, path, ["event_id"], ["event_date"], order)
 
 
-def store_fact_sessions(sessions: DataFrame, path: str, scope: Column | None = None) -> None:
+def store_fact_sessions(sessions: DataFrame, path: str, updated_at: Column | None = None) -> None:
     """Upsert by session. A recomputed session is complete, so it always replaces the stored one, also when it ends
-    earlier than before; if its start moves to another day it leaves the old partition."""
-    tables.upsert(sessions, path, ["session_id"], ["session_start_date"], [], scope)
+    earlier than before; if its start moves to another day it leaves the old partition. ``updated_at``, a time the caller
+    names, is kept as ``_updated_at``."""
+    if updated_at is not None:
+        sessions = sessions.withColumn("_updated_at", updated_at)
+    tables.upsert(sessions, path, ["session_id"], ["session_start_date"], [])
 
 
-def earliest_day(batch: DataFrame, facts: DataFrame | None) -> Column:
-    """Literal lower bound on the event date of everything the batch's sessions hold.
+def session_days(batch: DataFrame, fact_path: str) -> list[date]:
+    """The days on which the sessions of ``batch`` have events: those stored with each known session, found through the
+    fact's key index, and the batch's own. The list is bounded by the day partitions of raw."""
+    days = batch.select("event_date")
+    if tables.table_exists(batch.sparkSession, fact_path):
+        known = tables.rows_with_keys(batch.sparkSession, fact_path, batch.select("session_id").distinct(), ["session_id"],
+                                      ["session_start_date"], batch.sparkSession.read.parquet(fact_path).schema)
+        days = days.unionByName(known.select(F.explode("event_days").alias("event_date")))
+    return sorted(r[0] for r in days.distinct().collect() if r[0] is not None)
 
-    A known session's first day is in the session fact, a new one starts within the batch; both reduce to one date.
-    """
-    lows = batch.select(F.col("event_date").alias("d"))
-    if facts is not None:
-        ids = batch.select(F.col("session_id").alias("__s")).distinct()
-        known = facts.join(ids, F.col("session_id") == F.col("__s"), "left_semi")
-        lows = lows.unionByName(known.select(F.col("session_start_date").alias("d")))
-    return F.lit(lows.agg(F.min("d")).first()[0])
+
+def on_days(events: DataFrame, days: Sequence[date]) -> DataFrame:
+    """The partitions of these days; the scan skips all others."""
+    return events.where(F.col("event_date").isin(list(days)) if days else F.lit(False))
 
 
 def run_interval(raw: DataFrame, dims: Mapping[str, tuple[DataFrame, str, str]], titles: DataFrame, start: Column,
                  end: Column, event_path: str, session_path: str, roles: Roles = Roles()) -> None:
     """The incremental facts of one interval of server time: events received in it, and every session they touch.
 
-    The events of touched sessions are read again from raw, all of them, so a session is complete each time; no
-    partition before the earliest of their days is read. Event partitions are pruned by the lateness bound (a day before
-    the interval, a day after for clocks ahead). Running an interval twice changes nothing.
+    The events of touched sessions are read again from raw, all of them, so a session is complete each time; only the
+    days on which one of them has events are read, so an old session costs its own days. New events are pruned by the lateness
+    bound (a day before the interval, a day after for clocks ahead). Running an interval twice changes nothing.
     """
     days = F.col("event_date").between(F.date_sub(F.to_date(start), 1), F.date_add(F.to_date(end), 1))
     received = (F.col("server_received_at") >= start) & (F.col("server_received_at") < end)
     fresh = raw.where(days & received)
-    store_fact_events(build_fact_events(fresh, dims, keep=["server_received_at"]), event_path, ["server_received_at"], days)
-    known = tables.read_table(raw.sparkSession, session_path) if tables.table_exists(raw.sparkSession, session_path) else None
-    low = earliest_day(fresh, known)
-    events = touched_sessions(raw.where(F.col("event_date") >= low), "server_received_at", start, end)
-    store_fact_sessions(build_fact_sessions(build_fact_events(events, dims), titles, roles), session_path,
-                        F.col("session_start_date") >= low)
+    store_fact_events(build_fact_events(fresh, dims, keep=["server_received_at"]), event_path, ["server_received_at"])
+    events = touched_sessions(on_days(raw, session_days(fresh, session_path)), "server_received_at", start, end)
+    store_fact_sessions(build_fact_sessions(build_fact_events(events, dims), titles, roles, days=True), session_path)
 
 
 def build_fact_daily(sessions: DataFrame, day: date | str | None = None, include_ending: bool = False) -> DataFrame:

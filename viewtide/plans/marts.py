@@ -173,15 +173,18 @@ MARTS: Mapping[str, tuple[Callable[..., DataFrame], str]] = {
 
 
 def build_mart(name: str, sessions: DataFrame, dims: Mapping[str, DataFrame], path: str, day: Day = None,
-               checks: DataFrame | None = None) -> None:
+               checks: DataFrame | None = None, built_at: Column | None = None) -> None:
     """Build a mart for one day (replacing that day) or for all days (replacing the table).
 
-    ``checks`` gate the refresh: if one failed, an error is raised and the mart stays as it is.
+    ``checks`` gate the refresh: if one failed, an error is raised and the mart stays as it is. ``built_at``, a time the
+    caller names, is kept with every row as ``_built_at``.
     """
     if checks is not None:
         assert_checks(checks)
     plan, dim = MARTS[name]
     out = plan(sessions, dims[dim], day)
+    if built_at is not None:
+        out = out.withColumn("_built_at", built_at)
     if day is None:
         tables.replace_table(out, path, [DAY])
     else:

@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewtide import schema
@@ -169,6 +169,35 @@ def check_orphans(t: Tables) -> DataFrame:
                                                 for d in ("title", "device", "customer")]))
 
 
+def check_orphan_rate(t: Tables, per_mille: int = 1) -> DataFrame:
+    """Rows without each key stay below ``per_mille`` thousandths of the fact; no orphans always pass."""
+    dims = ("title", "device", "customer")
+    row = t["fact_events"].agg(_n().alias("rows"), *[count_where(F.col(f"{d}_key").isNull()).alias(d) for d in dims])
+    return verdicts(row, *[(f"orphan_rate_{d}", (F.col(d) == 0) | (F.col(d) * 1000 < F.col("rows") * per_mille),
+                            F.concat_ws(" of ", F.col(d).cast("string"), F.col("rows").cast("string")),
+                            f"< {per_mille} per mille") for d in dims])
+
+
+def check_positions(t: Tables) -> DataFrame:
+    return _none(t["raw"], "position_not_negative", F.col("position_ms") < 0)
+
+
+def check_mart_ratio(t: Tables, low: float = 0.01, high: float = 1.0) -> DataFrame:
+    """The content mart has between ``low`` and ``high`` rows for each session it was built from."""
+    row = _side(t["content_mart"], _n(), "m").join(F.broadcast(_side(t["fact_sessions"], _n(), "f")), "__k")
+    return verdicts(row, ("mart_rows_per_session", F.col("m").between(F.ceil(F.col("f") * low), F.col("f") * high),
+                          F.concat_ws(" of ", F.col("m").cast("string"), F.col("f").cast("string")), f"{low} .. {high}"))
+
+
+def check_commits(table: DataFrame, as_of: Column, gap_seconds: int = 300, lag_seconds: int = 1800) -> DataFrame:
+    """From the file times of a stored table: the longest gap between two writes, and the age of the newest one."""
+    times = table.select(F.unix_seconds(F.col("_metadata.file_modification_time")).alias("at")).distinct()  # one a file
+    gaps = times.withColumn("gap", F.col("at") - F.lag("at").over(Window.orderBy("at")))
+    row = gaps.agg(F.coalesce(F.max("gap"), F.lit(0)).alias("commit_gap"), (F.unix_seconds(as_of) - F.max("at")).alias("snapshot_lag"))
+    return verdicts(row, *[(c, F.col(c) <= limit, F.col(c), f"<= {limit} s")
+                           for c, limit in (("commit_gap", gap_seconds), ("snapshot_lag", lag_seconds))])
+
+
 def check_session_sanity(t: Tables) -> DataFrame:
     pct, watch = F.col("completion_pct"), F.col("watch_duration_seconds")
     return _zero_columns(t["fact_sessions"].agg(

@@ -104,15 +104,18 @@ def build_raw_events(landing: DataFrame, start: Column, end: Column, rules: Rule
     return newest_events(clean), bad
 
 
+RAW_SORT = ("session_id", "event_timestamp")
+
+
 def store_raw_events(clean: DataFrame, bad: DataFrame, raw_path: str, quarantine_path: str,
-                     scope: Column | None = None, parts: Sequence[str] = ("event_date", "event_hour"),
-                     quarantine_scope: Column | None = None) -> None:
-    """Upsert both outputs. The quarantine is keyed by row content, so overlapping lookbacks add nothing twice; equal rows
-    have one date, so a scope over the batch's dates loses none."""
-    tables.upsert(clean, raw_path, ["event_id"], parts, ["server_received_at"], scope)
+                     parts: Sequence[str] = ("event_date", "event_hour"), sort: Sequence[str] = RAW_SORT) -> None:
+    """Upsert both outputs; raw files are sorted by session and time, so a session's rows stay together and row groups of
+    others are skipped. A newer copy replaces the stored one in whatever partition that is. The quarantine is keyed by
+    row content, so overlapping lookbacks add nothing twice."""
+    tables.upsert(clean, raw_path, ["event_id"], parts, ["server_received_at"], [c for c in sort if c in clean.columns])
     content = [c for c in bad.columns if c not in ("_loaded_at", "_row_hash")]
     keyed = bad.withColumn("_row_hash", F.sha2(F.to_json(F.struct(*content)), 256))
-    tables.upsert(keyed, quarantine_path, ["_row_hash"], ["event_date"], ["server_received_at"], quarantine_scope)
+    tables.upsert(keyed, quarantine_path, ["_row_hash"], ["event_date"], ["server_received_at"])
 
 
 def normalise_landing(decoded: DataFrame, broker_ts: str = "broker_ts",

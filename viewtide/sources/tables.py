@@ -5,6 +5,10 @@ with a small plan file that lists the partitions to swap and to drop. Only then
 dies in between, :func:`roll_forward` finishes the listed swaps; staging without a plan file is discarded. Every change
 rolls forward first, so nothing is ever built on a half-swapped table. A table without partitions is swapped file by file
 under the same plan. Tables have a single writer.
+
+A partitioned table that is upserted has a key index beside its data (``_keys-...``): narrow files of key, partition and
+version. An upsert looks its keys up there, wherever they are stored, and publishes the places of its own rows as a new
+version in the same swap. Other writers that may add rows drop the index; the next upsert builds it from the table.
 """
 
 from __future__ import annotations
@@ -12,13 +16,13 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable, Sequence
+from contextlib import contextmanager
 from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.readwriter import DataFrameWriter
 
 from viewtide import schema
 from viewtide.operators.joins import null_safe_join
@@ -29,9 +33,33 @@ _PLAN = "_READY"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _writer(df: DataFrame, parts: Sequence[str]) -> DataFrameWriter:
-    """Parquet writer whose rows were gathered per partition value, split by size (AQE's REBALANCE splits hot ones)."""
-    return df.hint("rebalance", *parts).write.partitionBy(*parts) if parts else df.write
+_INDEX = "_keys-"
+INDEX_VERSIONS = 16     # versions after which an index is rewritten as one
+LISTED = 1_000          # partition values up to which a scan is pruned by a list, beyond that by their range
+
+
+@contextmanager
+def _sized(spark: SparkSession, target_bytes: int):
+    """Let a rebalance merge and split its partitions to about ``target_bytes``."""
+    wanted = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+              "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def _write(df: DataFrame, path: str, parts: Sequence[str] = (), sort: Sequence[str] = (), mode: str = "errorifexists",
+           target_bytes: int = schema.TARGET_FILE_BYTES) -> None:
+    """Parquet files of about ``target_bytes`` of shuffled rows, gathered per partition value (AQE's REBALANCE merges small
+    and splits large ones) and, with ``sort``, sorted inside, so that each file holds a narrow range."""
+    rows = sorted_layout(df, parts, sort) if sort else df.hint("rebalance", *parts)
+    with _sized(df.sparkSession, target_bytes):
+        (rows.write.partitionBy(*parts) if parts else rows.write).mode(mode).parquet(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -65,14 +93,18 @@ def _swap(files: Files, path: str, stage: str) -> None:
     files.delete(stage)
 
 
-def _publish(files: Files, path: str, stage: str, affected: Iterable[str], whole: bool = False) -> None:
-    """Swap in what was staged. ``affected`` names directories that end up empty unless staged; ``whole`` replaces all."""
+def _publish(files: Files, path: str, stage: str, affected: Iterable[str], whole: bool = False,
+             index: Iterable[str] = ()) -> None:
+    """Swap in what was staged. ``affected`` names directories that end up empty unless staged; ``whole`` replaces all;
+    ``index`` names staged versions of the key index, and versions to be dropped."""
     if whole:  # entries at the top, whatever the layout before and after
         written = _entries(files, f"{stage}/data")
         affected = _entries(files, path)
     else:
         written = sorted(files.leaves(f"{stage}/data"))
     gone = sorted(set(affected) - set(written))
+    for rel in index:
+        (written if files.exists(f"{stage}/data/{rel}") else gone).append(rel)
     files.write_text(f"{stage}/{_PLAN}", json.dumps({"move": written, "drop": gone}))
     _swap(files, path, stage)
 
@@ -81,30 +113,26 @@ def _entries(files: Files, path: str) -> list[str]:
     return sorted(name for name, _, _ in files.children(path) if not name.startswith(("_", ".")))
 
 
-def replace_table(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
+def replace_table(df: DataFrame, path: str, parts: Sequence[str] = (), sort: Sequence[str] = ()) -> None:
     """Create or replace the whole table; the old one may be read by ``df``."""
     files = Files(df.sparkSession, path)
     roll_forward(df.sparkSession, path)
     stage = f"{path}/_stage-{uuid.uuid4().hex}"
-    _writer(df, parts).parquet(f"{stage}/data")
+    _write(df, f"{stage}/data", parts, sort)
+    _drop_index(files, path)
     _publish(files, path, stage, [], whole=True)
 
 
 def write_sized(df: DataFrame, path: str, parts: Sequence[str] = (),
                 target_bytes: int = schema.TARGET_FILE_BYTES) -> None:
-    """Write tasks of about ``target_bytes`` of shuffled rows: the rebalance merges small and splits large ones."""
-    conf, key = df.sparkSession.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = conf.get(key)
-    conf.set(key, str(target_bytes))
-    try:
-        (_writer(df, parts) if parts else df.hint("rebalance").write).parquet(path)
-    finally:
-        conf.set(key, before)
+    """A new table with another file size than the default."""
+    _write(df, path, parts, target_bytes=target_bytes)
 
 
 def append(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
     roll_forward(df.sparkSession, path)
-    _writer(df, parts).mode("append").parquet(path)
+    _drop_index(Files(df.sparkSession, path), path)
+    _write(df, path, parts, mode="append")
 
 
 def _relative(spark: SparkSession, parts: Sequence[str], values: Sequence[object]) -> str:
@@ -121,14 +149,70 @@ def _relative(spark: SparkSession, parts: Sequence[str], values: Sequence[object
 
 def _in_partitions(df: DataFrame, parts: Sequence[str], rows: Sequence[Sequence[object]]) -> DataFrame:
     """Rows of the named partitions. The first partition column is tested against literals, so the scan prunes
-    directories; further columns are matched by a join with the partition list, which is one row per directory."""
+    directories: a list, or beyond ``LISTED`` values their range. What that leaves open is settled by a join with the
+    partition list, which is one row per directory."""
     first = {r[0] for r in rows}
-    test = F.col(parts[0]).isin([v for v in first if v is not None])
+    known = sorted(v for v in first if v is not None)
+    listed = len(known) <= LISTED
+    test = F.col(parts[0]).isin(known) if listed else F.col(parts[0]).between(known[0], known[-1])
     out = df.where(test | F.col(parts[0]).isNull() if None in first else test)
-    if len(parts) == 1:
+    if len(parts) == 1 and listed:
         return out
     fields = T.StructType([df.schema[p] for p in parts])
-    return null_safe_join(out, F.broadcast(df.sparkSession.createDataFrame(list(rows), fields)), parts, "left_semi")
+    return null_safe_join(out, df.sparkSession.createDataFrame(list(rows), fields), parts, "left_semi")
+
+
+# --- key index ---
+
+def _index_of(path: str, keys: Sequence[str]) -> str:
+    return f"{path}/{_INDEX}{'-'.join(keys)}"
+
+
+def _drop_index(files: Files, path: str) -> None:
+    """Before rows are added that no index knows of."""
+    for name, is_dir, _ in files.children(path):
+        if is_dir and name.startswith(_INDEX):
+            files.delete(f"{path}/{name}")
+
+
+def _index_versions(files: Files, path: str, keys: Sequence[str]) -> list[int]:
+    return sorted(int(name[2:]) for name, _, _ in files.children(_index_of(path, keys)) if name.startswith("v="))
+
+
+def _write_index(rows: DataFrame, keys: Sequence[str], path: str) -> None:
+    """Sorted by key, so that a file's statistics tell which keys it can hold."""
+    rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(path)
+
+
+def _places(spark: SparkSession, path: str, keys: Sequence[str], parts: Sequence[str], table: T.StructType,
+            wanted: DataFrame | None = None) -> DataFrame:
+    """Key and partition columns by the newest version of the index, of the keys in ``wanted`` or of all."""
+    fields = T.StructType([*[table[c] for c in (*keys, *parts)], T.StructField("v", T.IntegerType())])
+    rows = spark.read.schema(fields).parquet(_index_of(path, keys))
+    if wanted is not None:
+        rows = null_safe_join(rows, wanted.select(*keys), keys, "left_semi")
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*parts), "v").alias("__at")).select(*keys, "__at.*")
+
+
+def _require_index(spark: SparkSession, path: str, keys: Sequence[str], parts: Sequence[str], table: T.StructType) -> None:
+    files = Files(spark, path)
+    if _index_versions(files, path, keys):
+        return
+    stage = f"{path}/_stage-{uuid.uuid4().hex}"  # discarded if this is interrupted: it has no plan file
+    _write_index(spark.read.schema(table).parquet(path).select(*keys, *parts), keys, f"{stage}/keys")
+    files.rename(f"{stage}/keys", f"{_index_of(path, keys)}/v=0")
+    files.delete(stage)
+
+
+def rows_with_keys(spark: SparkSession, path: str, wanted: DataFrame, keys: Sequence[str], parts: Sequence[str],
+                   table: T.StructType) -> DataFrame:
+    """The stored rows of the keys in ``wanted``. Only the partitions that hold one are read."""
+    roll_forward(spark, path)
+    _require_index(spark, path, keys, parts, table)
+    at = {tuple(r) for r in _places(spark, path, keys, parts, table, wanted).select(*parts).distinct().collect()}
+    stored = spark.read.schema(table).parquet(path)
+    held = _in_partitions(stored, parts, sorted(at, key=str)) if at else stored.limit(0)
+    return null_safe_join(held, wanted.select(*keys), keys, "left_semi")
 
 
 def _age(order: Sequence[str]) -> Column:
@@ -136,11 +220,10 @@ def _age(order: Sequence[str]) -> Column:
 
 
 def upsert(batch: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str], order: Sequence[str],
-           scope: Column | None = None) -> None:
+           sort: Sequence[str] = ()) -> None:
     """Insert or update by key; the newer row by ``order`` survives, the incoming one on a tie or without an ``order``.
 
-    Only partitions that hold an incoming key or receive one are rewritten. ``scope`` bounds where in the target an
-    incoming key can live (for example the lateness bound on the date partition) and prunes the key lookup. Rows of
+    Only partitions that hold an incoming key, by the key index, or receive one are rewritten, sorted by ``sort``. Rows of
     untouched keys pass through two anti-joins against the batch; a small batch is broadcast by size, so the large side
     is not shuffled.
     """
@@ -151,7 +234,8 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str
     tie = F.xxhash64(*[F.col(c) for c in batch.columns])
     newest = latest_per_key(batch.withColumn("__tie", tie), keys, [*order, "__tie"]).drop("__tie")
     if not table_exists(spark, path):
-        _writer(newest, parts).parquet(f"{stage}/data")
+        _write(newest, f"{stage}/data", parts, sort)
+        _drop_index(files, path)
         _publish(files, path, stage, [], whole=not parts)
         return
 
@@ -160,15 +244,18 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str
     incoming = spark.read.schema(newest.schema).parquet(f"{stage}/batch")
     # Reading under the batch's schema also fills columns the stored files do not have yet.
     target = spark.read.schema(incoming.schema).parquet(path)
-    lookup = target if scope is None else target.where(scope)
-    holding = null_safe_join(lookup.select(*keys, *parts), incoming.select(*keys), keys, "left_semi").select(*parts)
-    # Partitions; an empty text is stored as NULL.
-    affected = {tuple(None if v == "" else v for v in r)
-                for r in holding.unionByName(incoming.select(*parts)).distinct().collect()} if parts else set()
-    if parts and not affected:
-        files.delete(stage)
-        return
-    old = _in_partitions(target, parts, sorted(affected, key=str)) if parts else target
+    if parts:
+        _require_index(spark, path, keys, parts, incoming.schema)
+        holding = _places(spark, path, keys, parts, incoming.schema, incoming).select(*parts)
+        # Partitions; an empty text is stored as NULL.
+        affected = {tuple(None if v == "" else v for v in r)
+                    for r in holding.unionByName(incoming.select(*parts)).distinct().collect()}
+        if not affected:
+            files.delete(stage)
+            return
+        old = _in_partitions(target, parts, sorted(affected, key=str))
+    else:
+        affected, old = set(), target
 
     def rival(side: DataFrame) -> DataFrame:
         return side.select(*keys, _age(order).alias("__rival"))
@@ -181,10 +268,20 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str
         return mine.join(other, cond & beaten, "left_anti")
 
     mine = _age(order)
-    merged = (survivors(old, incoming, F.col("__rival") >= mine)
-              .unionByName(survivors(incoming, old, F.col("__rival") > mine)))
-    _writer(merged, parts).parquet(f"{stage}/data")
-    _publish(files, path, stage, [_relative(spark, parts, r) for r in affected], whole=not parts)
+    winners = survivors(incoming, old, F.col("__rival") > mine)
+    merged = survivors(old, incoming, F.col("__rival") >= mine).unionByName(winners)
+    _write(merged, f"{stage}/data", parts, sort)
+    index = []
+    if parts:
+        versions = _index_versions(files, path, keys)
+        moved, name = winners.select(*keys, *parts), _index_of("", keys)[1:]
+        if len(versions) >= INDEX_VERSIONS:
+            rest = null_safe_join(_places(spark, path, keys, parts, incoming.schema), moved.select(*keys), keys, "left_anti")
+            moved = rest.unionByName(moved)
+            index = [f"{name}/v={v}" for v in versions]
+        index.append(f"{name}/v={versions[-1] + 1}")
+        _write_index(moved, keys, f"{stage}/data/{index[-1]}")
+    _publish(files, path, stage, [_relative(spark, parts, r) for r in affected], whole=not parts, index=index)
 
 
 def replace_partitions(df: DataFrame, path: str, part: str, values: Sequence[object]) -> None:
@@ -194,7 +291,8 @@ def replace_partitions(df: DataFrame, path: str, part: str, values: Sequence[obj
     roll_forward(spark, path)
     stage = f"{path}/_stage-{uuid.uuid4().hex}"
     wanted = _in_partitions(df, [part], [(v,) for v in values])
-    _writer(wanted, [part]).parquet(f"{stage}/data")
+    _write(wanted, f"{stage}/data", [part])
+    _drop_index(files, path)
     _publish(files, path, stage, [_relative(spark, [part], (v,)) for v in values])
 
 

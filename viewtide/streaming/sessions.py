@@ -1,30 +1,19 @@
-"""Sessions kept up to date by micro-batches, and sessions closed after silence."""
+"""Sessions kept up to date by micro-batches, and sessions closed after silence, by windows or by timers."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from viewtide.plans.facts import Roles, build_fact_sessions, earliest_day, store_fact_sessions
+from viewtide.plans.facts import Roles, build_fact_sessions, on_days, session_days, store_fact_sessions
 from viewtide.plans.raw import Rules, newest_events, split_quarantine, store_raw_events
 from viewtide.sources import tables
 
 
-def near_dates(batch: DataFrame, days: int = 1) -> Column | None:
-    """Test for stored rows whose event date is within ``days`` of the batch's; None where the batch has no date.
-
-    An event's copies carry one event time up to the lateness bound of a day, so no other partition holds its key.
-    """
-    low, high = batch.agg(F.min("event_date"), F.max("event_date")).first()
-    if low is None:
-        return None
-    near = F.col("event_date").between(F.date_sub(F.lit(low).cast("date"), days), F.date_add(F.lit(high).cast("date"), days))
-    return near | F.col("event_date").isNull()
-
-
 def update_sessions(batch: DataFrame, raw_path: str, quarantine_path: str, fact_path: str,
                     resolve: Callable[[DataFrame], DataFrame], titles: DataFrame, rules: Rules = Rules(),
                     roles: Roles = Roles(), raw_parts: Sequence[str] = ("event_date", "event_hour")) -> None:
@@ -36,17 +25,13 @@ def update_sessions(batch: DataFrame, raw_path: str, quarantine_path: str, fact_
     spark = batch.sparkSession
     clean, bad = split_quarantine(batch, rules)
     clean = newest_events(clean)
-    scope = near_dates(batch)
-    store_raw_events(clean, bad, raw_path, quarantine_path, scope, raw_parts, scope)
+    store_raw_events(clean, bad, raw_path, quarantine_path, raw_parts)
     if clean.isEmpty():
         return
-    facts = tables.read_table(spark, fact_path) if tables.table_exists(spark, fact_path) else None
-    low = earliest_day(clean, facts)
     ids = clean.select(F.col("session_id").alias("__s")).distinct()
-    events = (tables.read_table(spark, raw_path, clean.schema).where(F.col("event_date") >= low)
-              .join(ids, F.col("session_id") == F.col("__s"), "left_semi"))
-    # A known session starts on ``low`` at the earliest, before and after the change.
-    store_fact_sessions(build_fact_sessions(resolve(events), titles, roles), fact_path, F.col("session_start_date") >= low)
+    raw = on_days(tables.read_table(spark, raw_path, clean.schema), session_days(clean, fact_path))
+    events = raw.join(ids, F.col("session_id") == F.col("__s"), "left_semi")
+    store_fact_sessions(build_fact_sessions(resolve(events), titles, roles, days=True), fact_path)
 
 
 def session_stream(stream: DataFrame, checkpoint: str, update: Callable[[DataFrame], None],
@@ -78,3 +63,74 @@ def close_idle(df: DataFrame, idle: str = "30 minutes", lateness: str = "24 hour
                  F.count(F.lit(1)).alias("events"), F.bool_or(ended).alias("ended"))
             .select("session_id", "first_event_ts", "last_event_ts", "events",
                     (~F.col("ended")).alias("was_force_closed")))
+
+
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass":
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+CLOSED = "session_id string, first_event_ts timestamp, last_event_ts timestamp, events bigint, was_force_closed boolean"
+
+
+class IdleSessions(StatefulProcessor):
+    """The open spans of a session as state, and a timer where the earliest of them falls silent for too long.
+
+    Micros since the epoch throughout. Events may come in any order down to the watermark: they open, extend or join spans.
+    When the timer fires, spans silent for longer than the gap leave; the state of a session without spans is removed.
+    """
+
+    def __init__(self, idle_micros: int):
+        self.idle = idle_micros
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.spans = handle.getValueState("spans", "first array<bigint>, last array<bigint>, n array<bigint>, ended array<boolean>")
+
+    def close(self) -> None:
+        pass
+
+    def _open(self) -> list[list]:
+        return [list(x) for x in zip(*self.spans.get())] if self.spans.exists() else []
+
+    def _keep(self, spans: list[list]) -> None:
+        for at in list(self.handle.listTimers()):
+            self.handle.deleteTimer(at[0] if isinstance(at, tuple) else at)
+        if not spans:
+            self.spans.clear()
+            return
+        self.spans.update(tuple(list(c) for c in zip(*spans)))
+        # Timers have milliseconds; the first one at which the silence is longer than the gap.
+        self.handle.registerTimer((min(s[1] for s in spans) + self.idle) // 1000 + 1)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        spans = self._open()
+        for frame in rows:
+            spans += [[t, t, 1, bool(e)] for t, e in zip(frame["at"], frame["end"])]
+        joined: list[list] = []
+        for first, last, n, ended in sorted(spans):
+            if joined and first - joined[-1][1] <= self.idle:
+                was = joined[-1]
+                joined[-1] = [was[0], max(was[1], last), was[2] + n, was[3] or ended]
+            else:
+                joined.append([first, last, n, ended])
+        self._keep(joined)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        until = timerValues.getCurrentWatermarkInMs() * 1000  # spans behind the first may be silent long enough as well
+        spans = self._open()
+        done = [s for s in spans if s[1] + self.idle < until]
+        self._keep([s for s in spans if s[1] + self.idle >= until])
+        if done:
+            first, last, n, ended = (list(c) for c in zip(*done))
+            yield pd.DataFrame({"session_id": key[0], "first_event_ts": pd.to_datetime(first, unit="us"),
+                                "last_event_ts": pd.to_datetime(last, unit="us"), "events": n,
+                                "was_force_closed": [not e for e in ended]})
+
+
+def close_idle_by_timer(stream: DataFrame, idle_seconds: int = 1800, lateness: str = "24 hours",
+                        end_types: Sequence[str] = ("complete", "exit"), ts: str = "event_timestamp") -> DataFrame:
+    """The rows of :func:`close_idle`, each when its session's event-time timer fires. Start the query under
+    ``STATE_STORE``. Events behind the watermark do not reach the state (see ``events.dedup_with_late_table``)."""
+    ended = F.coalesce(F.col("event_type").isin(list(end_types)), F.lit(False))
+    rows = (stream.where(F.col(ts).isNotNull()).withWatermark(ts, lateness)
+            .select("session_id", ts, F.unix_micros(ts).alias("at"), ended.alias("end")))
+    return rows.groupBy("session_id").transformWithStateInPandas(IdleSessions(idle_seconds * 1_000_000), CLOSED, "append", "EventTime")
