@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from viewtide.catalog.model import ts
 from viewtide.catalog.registry import query
 from viewtide.catalog.relations import half_up
+from viewtide.operators.joins import attach
 from viewtide.operators.windows import rolling_actives
-from viewtide.plans import dims, marts, reports
+from viewtide.plans import dims, marts, reports, sketches
+from viewtide.session import work_path
+from viewtide.sources import tables
 
 CONTENT = ("engagement_date:s title_key:i tconst:s primary_title:s title_type:s genres:s distinct_viewers:i "
            "sessions_count:i total_watch_seconds:i completion_count:i completion_rate:d avg_session_seconds:i")
@@ -187,6 +190,39 @@ def rolling_mau(p):
     return rolling_actives(p.fact_daily, "customer_key", "engagement_date", 30)
 
 
+@query("r6_sketch_actives", "engagement_date:s actives:i within_bound:s",
+       """SELECT d.engagement_date, count(DISTINCT customer_key) AS actives, true AS within_bound
+          FROM (SELECT CAST(unnest(generate_series(min(engagement_date), max(engagement_date), INTERVAL 1 DAY)) AS DATE)
+                AS engagement_date FROM fact_daily WHERE customer_key IS NOT NULL) d LEFT JOIN fact_daily a
+          ON a.engagement_date <= d.engagement_date AND a.engagement_date > d.engagement_date - 7 GROUP BY 1""")
+def sketch_actives(p):
+    """Weekly actives from stored daily sketches beside the exact ones: within four standard errors on every day."""
+    p = p.stored("fact_daily")
+    path = work_path(p.spark, "viewer-sketches")
+    tables.replace_table(sketches.viewer_sketches(p.fact_daily, "customer_key", "engagement_date"), path, ["engagement_date"])
+    estimated = sketches.rolling_viewers(tables.read_table(p.spark, path), "engagement_date", 7, out="estimate")
+    exact = rolling_actives(p.fact_daily, "customer_key", "engagement_date", 7)
+    off = F.abs(F.col("estimate") - F.col("actives")) <= F.greatest(F.lit(1.0), F.col("actives") * 4 * 1.04 / 2 ** (sketches.HLL_BITS / 2))
+    return exact.join(estimated, "engagement_date", "left").withColumn("within_bound", F.coalesce(off, F.col("actives") == 0))
+
+
+@query("m1_quantile_sketches", "title_type:s n:i within_bound:s",
+       """SELECT title_type, count(watch_duration_seconds) AS n, true AS within_bound
+          FROM fact_sessions s JOIN dim_title t ON s.title_key = t.title_key WHERE watch_duration_seconds IS NOT NULL GROUP BY 1""")
+def quantile_sketches(p):
+    """Watch-time quantiles per title type over all days, from stored daily sketches; their true ranks are within the bound."""
+    p = p.stored("fact_sessions")
+    path = work_path(p.spark, "quantile-sketches")
+    rows = attach(p.fact_sessions, p.dim_title, "title_key", ["title_type"], "inner")
+    tables.replace_table(sketches.quantile_sketches(rows, "watch_duration_seconds", "session_start_date", ["title_type"]), path,
+                         ["session_start_date"])
+    ps = {"p10": 0.1, "p50": 0.5, "p95": 0.95}
+    found = sketches.rolled_up(tables.read_table(p.spark, path), ["title_type"], ps)
+    errors = sketches.rank_errors(rows, "watch_duration_seconds", ["title_type"], found, ps)
+    within = F.greatest(*[F.col(f"{n}_rank_error") for n in ps]) <= sketches.RANK_ERROR
+    return found.join(errors, "title_type").select("title_type", "n", within.alias("within_bound"))
+
+
 _LAST = "WHERE engagement_date = (SELECT max(engagement_date) FROM {m})"
 
 

@@ -12,6 +12,7 @@ from viewtide.bind import ROLES, RULES
 from viewtide.catalog.model import received_span, ts
 from viewtide.catalog.patterns import ev
 from viewtide.catalog.registry import query
+from viewtide.operators.joins import compare_partitioned, differing_partitions
 from viewtide.operators.windows import latest_per_key
 from viewtide.plans import dims, facts, marts, quality, raw
 from viewtide.session import work_path
@@ -197,6 +198,50 @@ def run_metrics(p):
     return tables.read_table(p.spark, path)
 
 
+@query("k13_observed_metrics", "metric_name:s metric_value:d",
+       """SELECT 'raw_count' AS metric_name, CAST(count(*) AS DOUBLE) AS metric_value FROM deduplicated
+          UNION ALL SELECT 'raw_max_position_ms', max(position_ms) FROM deduplicated
+          UNION ALL SELECT 'quarantine_count', count(*) FROM quarantine""")
+def observed_metrics(p):
+    """Figures of raw and quarantine from the writes that store them."""
+    root = work_path(p.spark, "observed")
+    n = F.count(F.lit(1))
+    found = metrics.observed(p.deduplicated, lambda df: tables.replace_table(df, f"{root}/raw", ["event_date"]),
+                             raw_count=n, raw_max_position_ms=F.max("position_ms"))
+    found |= metrics.observed(p.quarantine, lambda df: tables.replace_table(df, f"{root}/quarantine"), quarantine_count=n)
+    start = ts("2024-01-01")
+    row = tables.read_table(p.spark, f"{root}/raw").limit(1).select(*[F.lit(v).alias(k) for k, v in found.items()])
+    metrics.write_metrics(metrics.metric_rows(row, "raw", "run-1", start, start, start), f"{root}/metrics")
+    return tables.read_table(p.spark, f"{root}/metrics")
+
+
+@query("j11_compare_partitions", "engagement_date:s title_key:i left_sessions:i right_sessions:i status:s partitions_read:i",
+       """WITH old AS (SELECT engagement_date, title_key, sessions_count AS s FROM content_mart),
+          new AS (SELECT engagement_date, title_key, s + CASE WHEN engagement_date = DATE '2024-01-12' THEN 1 ELSE 0 END AS s
+                  FROM old WHERE engagement_date <> DATE '2024-01-20')
+          SELECT *, 2 AS partitions_read FROM (
+          SELECT coalesce(o.engagement_date, n.engagement_date) AS engagement_date, coalesce(o.title_key, n.title_key) AS title_key,
+            o.s AS left_sessions, n.s AS right_sessions, CASE WHEN n.s IS NULL THEN 'only_left' ELSE 'differs' END AS status
+          FROM old o LEFT JOIN new n ON o.engagement_date = n.engagement_date AND o.title_key = n.title_key
+          WHERE o.s IS DISTINCT FROM n.s)""")
+def compare_partitions(p):
+    """Two stored versions of a mart: one day changed, one day gone; the other days are not compared row by row."""
+    a, b = work_path(p.spark, "old"), work_path(p.spark, "new")
+    day = F.col("engagement_date")
+    rows = p.content_mart.select("engagement_date", "title_key", "sessions_count")
+    tables.replace_table(rows, a, ["engagement_date"])
+    old = tables.read_table(p.spark, a)
+    more = F.when(day == F.lit("2024-01-12").cast("date"), 1).otherwise(0)
+    tables.replace_table(old.where(day != F.lit("2024-01-20").cast("date")).withColumn("sessions_count", F.col("sessions_count") + more),
+                         b, ["engagement_date"])
+    new = tables.read_table(p.spark, b)
+    cols = ["engagement_date", "title_key", "sessions_count"]
+    n = len(differing_partitions(old, new, "engagement_date", cols))
+    found = compare_partitioned(old, new, "engagement_date", cols[:2], cols[2:])
+    return found.withColumnsRenamed({"left_sessions_count": "left_sessions", "right_sessions_count": "right_sessions"}).withColumn(
+        "partitions_read", F.lit(n))
+
+
 @query("k14_save_checks", "check:s passed:s observed:s",
        """SELECT 'orphan_' || d AS "check", n = 0 AS passed, n AS observed FROM (
           SELECT 'title' AS d, count(*) FILTER (WHERE title_key IS NULL) AS n FROM fact_events

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from viewtide.sources import tables
@@ -23,6 +23,14 @@ def metric_rows(row: DataFrame, dag_id: str, run_id: str, start: Column, end: Co
                     "data_interval_end", "recorded_at"))
 
 
+def observed(df: DataFrame, write: Callable[[DataFrame], None], **values: Column) -> dict[str, int | float]:
+    """Run ``write`` and return aggregates of the rows that passed through it, gathered by the write itself: nothing is read
+    a second time. ``write`` must run one action over its argument."""
+    seen = Observation()
+    write(df.observe(seen, *[c.alias(n) for n, c in values.items()]))
+    return seen.get
+
+
 def write_metrics(rows: DataFrame, path: str) -> None:
     tables.append(rows.repartition(1), path)
 
