@@ -158,19 +158,29 @@ def test_tsv_keeps_empty_apart_from_null(spark, tmp_path):
     assert kept == [("1", "", None), ("2", '"x', "y")]
 
 
-def test_tolerant_reader(spark, tmp_path):
+@pytest.mark.parametrize("whole_bytes", [readers.WHOLE_BYTES, 500])
+def test_tolerant_reader(spark, tmp_path, monkeypatch, whole_bytes):
+    """With the small limit all but the shortest archives are tested by a scan."""
+    import bz2
     import gzip
+    monkeypatch.setattr(readers.corrupt_files, "__defaults__", (whole_bytes,))
     folder = tmp_path / "in"
     folder.mkdir()
-    with gzip.open(folder / "good.json.gz", "wt") as f:
-        f.write('{"a": "1"}\n{"a": \n')
-    (folder / "bad.json.gz").write_bytes(b"this is no gzip file")
-    whole = gzip.compress(b"".join(b'{"a": "%d"}\n' % i for i in range(50_000)))
-    (folder / "cut.json.gz").write_bytes(whole[:len(whole) // 2])
+    lines = b"".join(b'{"a": "%d"}\n' % i for i in range(50_000))
+    whole = lines[:lines.index(b"\n", 30_000) + 1]
+    (folder / "good.json.gz").write_bytes(gzip.compress(b'{"a": "1"}\n{"a": \n'))
+    (folder / "good.json.bz2").write_bytes(bz2.compress(whole) + bz2.compress(b'{"a": "x"}\n'))
+    (folder / "bad.json.gz").write_bytes(b"this is no gzip file" * 40)
+    (folder / "cut.json.gz").write_bytes(gzip.compress(lines)[:90_000])
+    (folder / "cut.json.bz2").write_bytes(bz2.compress(lines)[:-2000])
+    (folder / "odd.json.zst").write_bytes(b"this is no zst file")
     good, corrupt = readers.read_tolerant(spark, str(folder), "a string")
-    assert [r["a"] for r in good.collect()] == ["1"] and corrupt.count() == 1
-    broken = {r["file_path"].rsplit("/", 1)[1]: r for r in readers.corrupt_files(spark, str(folder)).collect()}
-    assert sorted(broken) == ["bad.json.gz", "cut.json.gz"] and 0 < broken["cut.json.gz"]["rows_read"] < 50_000
+    values = [r["a"] for r in good.collect()]
+    assert "1" in values and "x" in values and len(values) == whole.count(b"\n") + 2 and corrupt.count() == 1
+    found = readers.corrupt_files(spark, str(folder)).collect()
+    broken = {r["file_path"].rsplit("/", 1)[1]: r for r in found}
+    assert sorted(broken) == ["bad.json.gz", "cut.json.bz2", "cut.json.gz", "odd.json.zst"]
+    assert (broken["cut.json.gz"]["rows_read"] is None) == (whole_bytes == 500)
 
 
 def test_interval_reader_prunes_partitions(spark, path):

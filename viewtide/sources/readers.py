@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import bz2
 import gzip
 import io
+import re
 import zlib
 from collections.abc import Mapping
 from datetime import timedelta
 
 import pandas as pd
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,29 +87,52 @@ def read_tolerant(spark: SparkSession, path: str, ddl: str) -> tuple[DataFrame,
     return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull())
 
 
-def corrupt_files(spark: SparkSession, path: str) -> DataFrame:
-    """``file_path``, ``rows_read``, ``error`` of compressed files that end early or are no archive at all.
+WHOLE_BYTES = 256 << 20  # archives up to this size are tested as one value in a task, larger ones by a scan of their own
+ARCHIVES = "*.{gz,bz2,zst}"
 
-    A text scan that ignores corrupt files keeps the rows before the damage, so each gzip file is read once more, as
-    bytes and one at a time, to its last checksum.
+
+def corrupt_files(spark: SparkSession, path: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """``file_path``, ``rows_read``, ``error`` of compressed files that end early, are no archive or cannot be read here.
+
+    A text scan that ignores corrupt files keeps the rows before the damage, so every archive is read once more to its last
+    checksum. Small .gz and .bz2 files are decompressed piece by piece in tasks. Larger ones, which ``binaryFile`` may refuse,
+    and all .zst files stream through the codecs of Spark's own text scan in bounded memory: all together first, and file by
+    file only if that fails; ``rows_read`` is NULL for those. Only their names reach the driver.
     """
     def tested(batches):
         for pdf in batches:
             found = []
             for name, content in zip(pdf["path"], pdf["content"]):
-                rows, error = _gunzip(content)
+                rows, error = _unpack(name, content)
                 if error:
                     found.append((name, rows, error))
             yield pd.DataFrame(found, columns=["file_path", "rows_read", "error"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
-    return files.mapInPandas(tested, "file_path string, rows_read bigint, error string")
+    ddl = "file_path string, rows_read bigint, error string"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", ARCHIVES).load(path)
+    small = (F.col("length") <= whole_bytes) & ~F.col("path").endswith(".zst")
+    streamed = [r.path for r in files.where(~small).select("path").collect()]
+    bad = [] if not streamed or _scan_error(spark, streamed) is None else [
+        (f, None, error) for f in streamed if (error := _scan_error(spark, [f])) is not None]
+    found = files.where(small).select("path", "content").mapInPandas(tested, ddl)
+    return found.unionByName(spark.createDataFrame(bad, ddl)) if bad else found
+
+
+def _scan_error(spark: SparkSession, files: list[str]) -> str | None:
+    """What a text scan of these files that stops at any damage ends with."""
+    escaped = [re.sub(r"([\\*?\[\]{}])", r"\\\1", f) for f in files]
+    try:
+        spark.read.option("ignoreCorruptFiles", False).text(escaped).agg(F.max(F.length("value"))).collect()
+    except (PySparkException, Py4JError) as e:
+        return " ".join(str(e).split())[:500]
+    return None
 
 
-def _gunzip(content: bytes) -> tuple[int, str | None]:
+def _unpack(name: str, content: bytes) -> tuple[int, str | None]:
+    """Lines of an archive, and the error it ends with."""
     rows = 0
     try:
-        with gzip.open(io.BytesIO(content)) as f:
+        with (bz2.open if name.endswith(".bz2") else gzip.open)(io.BytesIO(content)) as f:
             while piece := f.read(1 << 14):
                 rows += piece.count(b"\n")
     except (EOFError, OSError, zlib.error) as e:
