@@ -2,16 +2,17 @@
 
 Every window of ``LENGTH`` bytes has an anchor: the place in it whose ``HEAD`` bytes have the least hash. Anchors depend on the
 window's bytes alone, so equal windows have equal anchors, and about one byte in 85 is one. The suffixes that start at
-anchors form a sparse suffix array, ordered by the fingerprint of their head and of their context (the bytes of all windows
-that share the anchor). A new batch of texts gets such an array, is merge-scanned against all levels of the family and becomes a
-level itself; before that, levels of equal size are merged, so n batches leave about log2(n) levels and every suffix is
-rewritten about log2(n) times.
+anchors form a sparse suffix array: distinct contexts (the bytes of all windows that share the anchor) with their counts, as
+fingerprints, ordered by head and context. A new batch of texts gets such an array, is merge-scanned against all levels of
+the family and becomes a level itself; before that, levels of equal size are merged, so n batches leave about log2(n)
+levels and every suffix is rewritten about log2(n) times.
 
 A scan finds contexts that occur again (the interior of any long match) and heads that occur in different contexts (its ends).
-The latter are compared on their bytes, all in one go after the last batch: a task builds the suffix array of the contexts
-that share heads and marks every window whose first ``LENGTH`` bytes equal a neighbour's. Contexts of a head with more than
-``CROWD`` of them are compared by 128-bit fingerprints of their windows instead, which Spark sums before the shuffle, so no
-head is collected in one task. Context fingerprints have 128 bits and are not compared again.
+After the last batch the texts are read once more to place the former and to take the bytes of the latter, which are compared in
+one go: a task builds the suffix array of the contexts that share heads and marks every window whose ``LENGTH`` bytes
+equal a neighbour's. Contexts of a head with more than ``CROWD`` of them are compared by 128-bit fingerprints of their
+windows instead, which Spark sums before the shuffle, so no head is collected in one task. Equal contexts are those with
+equal 64-bit fingerprints and equal 64-bit heads; they are not compared again.
 
 Defined results: null and empty texts have no bytes and nothing is removed; texts shorter than ``LENGTH`` are left alone; equal texts
 lose everything from that length on; repeated rows and ids have a row each; texts of any length are read whole, in overlapping
@@ -21,6 +22,7 @@ result. Other columns of the input are not looked at.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from dataclasses import dataclass
 
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
 from viewtide.llm.common import forget, is_empty, join_counted, store
-from viewtide.llm.phrases import Polynomial, Powers, mix
+from viewtide.llm.phrases import Filter, Polynomial, Powers, mix
 
 LENGTH = 200            # bytes of a repeated string
 HEAD = 32
@@ -42,7 +44,7 @@ PIECE = 1 << 20
 CROWD = 4_096           # contexts of a head that one task compares
 BATCHES = 4
 TEXT = ["t1", "t2"]     # 128-bit name of a text
-CONTEXT = ["key", "c1", "c2"]
+CONTEXT = ["key", "c"]
 
 _U = np.uint64
 _RNG = np.random.default_rng(12)
@@ -81,10 +83,10 @@ def windows(size: int, starts: np.ndarray) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """First and last window, head and context fingerprints of every anchor of a piece."""
+    """First and last window, head and context fingerprint of every anchor of a piece."""
     p = windows(len(data), starts)
     if not len(p):
-        return (p,) * 2 + (np.zeros(0, np.int64),) * 3
+        return p, p, p, p
     at = np.arange(len(data) - HEAD + 1)
     heads = mix(Polynomial(_BYTE[0][data], _POWERS[0]).of(at, at + HEAD))
     ranked = (heads & ~_PLACE) | at.astype(_U)
@@ -96,50 +98,62 @@ def anchors(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     anchor = (np.minimum(onward[p], upto[p + REACH - 1]) & _PLACE).astype(np.int64)
     new = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (p[1:] != p[:-1] + 1))))
     first, last = p[new], p[np.append(new[1:], len(p)) - 1]
-    c1, c2 = (mix(Polynomial(_BYTE[k][data], _POWERS[k]).of(first, last + LENGTH)) for k in (1, 2))
-    return first, last, heads[anchor[new]].view(np.int64), c1.view(np.int64), c2.view(np.int64)
+    context = mix(Polynomial(_BYTE[1][data], _POWERS[1]).of(first, last + LENGTH))
+    return first, last, heads[anchor[new]].view(np.int64), context.view(np.int64)
 
 
-SUFFIX = pa.schema([(c, pa.int64()) for c in [*TEXT, "first", "last", *CONTEXT, "n"]])
+def contexts(first, last, key, context, text):
+    """Of the anchors of a piece: one of each distinct context of a text, how often the text has it (at most 2), and the
+    windows of those it has twice, joined where they touch (text, first, last)."""
+    order = np.lexsort((first, context, key, text))
+    cols = np.stack([c[order] for c in (text, key, context)])
+    new = np.concatenate(([True], (cols[:, 1:] != cols[:, :-1]).any(axis=0)))
+    size = np.diff(np.append(np.flatnonzero(new), len(order)))
+    again = np.sort(order[np.repeat(size > 1, size)])
+    apart = np.flatnonzero(np.concatenate((np.ones(min(1, len(again)), bool), (first[again][1:] > last[again][:-1] + 1)
+                                           | (text[again][1:] != text[again][:-1]))))
+    ends = last[again[np.append(apart[1:], len(again)) - 1]] if len(again) else again
+    return order[new], np.minimum(size, 2), (text[again[apart]], first[again[apart]], ends)
 
 
 def suffix_rows(batches):
-    """Rows ``t1``, ``t2``, ``first``, ``last`` (windows), ``key``, ``c1``, ``c2``, ``n`` of every context of a text.
-
-    A context found twice in a piece is known to be repeated: it has one row with ``n`` 2, and its windows are rows
-    without a key, joined where they touch.
-    """
+    """``key``, ``c``, ``n`` of every context of a text."""
     for batch in batches:
-        names = [batch.column(c).to_numpy() for c in TEXT]
-        for data, starts, rows, offsets in pieces(batch.column("text")):
-            first, last, key, c1, c2 = anchors(data, starts)
-            if not len(first):
-                continue
-            text = np.searchsorted(starts, first, "right") - 1
-            order = np.lexsort((first, c2, c1, key, text))
-            cols = np.stack([c[order] for c in (text, key, c1, c2)])
-            new = np.concatenate(([True], (cols[:, 1:] != cols[:, :-1]).any(axis=0)))
-            size = np.diff(np.append(np.flatnonzero(new), len(order)))
-            twice = np.repeat(size > 1, size)
-            keep = order[new]
-            out = [keep, key[keep], c1[keep], c2[keep], np.minimum(size, 2)]
-            shift = (offsets - starts)[text]
-            yield suffix_batch(names, rows, text, first + shift, last + shift, *out)
-            again = np.sort(order[twice])
-            if len(again):
-                apart = np.flatnonzero(np.concatenate(([True], (first[again][1:] > last[again][:-1] + 1)
-                                                       | (text[again][1:] != text[again][:-1]))))
-                ends = last.copy()
-                ends[again[apart]] = last[again[np.append(apart[1:], len(again)) - 1]]
-                none = np.zeros(len(apart), np.int64)
-                yield suffix_batch(names, rows, text, first + shift, ends + shift, again[apart], None, none, none, none)
-
-
-def suffix_batch(names, rows, text, first, last, keep, key, c1, c2, n):
-    row = rows[text[keep]]
-    key = pa.nulls(len(keep), pa.int64()) if key is None else pa.array(key)
-    return pa.RecordBatch.from_arrays([*(pa.array(c[row]) for c in names), pa.array(first[keep]), pa.array(last[keep]),
-                                       key, pa.array(c1), pa.array(c2), pa.array(n)], schema=SUFFIX)
+        for data, starts, _, _ in pieces(batch.column("text")):
+            first, last, key, context = anchors(data, starts)
+            if len(first):
+                one, n, _ = contexts(first, last, key, context, np.searchsorted(starts, first, "right") - 1)
+                yield pa.RecordBatch.from_arrays([pa.array(key[one]), pa.array(context[one]), pa.array(n)], names=[*CONTEXT, "n"])
+
+
+PLACED = pa.schema([*[(c, pa.int64()) for c in [*TEXT, "first", "last", *CONTEXT]], ("known", pa.bool_()), ("bytes", pa.binary())])
+
+
+def placed_rows(again: Filter, disputed: Filter):
+    """Function of batches of texts: the places of contexts that may be repeated, with their bytes where the head may be
+    disputed; windows a text is known to repeat have no context."""
+    def run(batches):
+        for batch in batches:
+            names = [batch.column(c).to_numpy() for c in TEXT]
+            for data, starts, rows, offsets in pieces(batch.column("text")):
+                first, last, key, context = anchors(data, starts)
+                if not len(first):
+                    continue
+                text = np.searchsorted(starts, first, "right") - 1
+                one, _, (t, f, e) = contexts(first, last, key, context, text)
+                open_ = disputed.has(key[one])
+                keep = again.has(context[one]) | open_
+                one, open_ = one[keep], open_[keep]
+                held = [data[first[i]:last[i] + LENGTH].tobytes() if o else None for i, o in zip(one, open_)]
+                shift, none = offsets - starts, pa.nulls(len(t), pa.int64())
+                for at, lo, hi, k, c, known, taken in (
+                        (text[one], first[one], last[one], pa.array(key[one]), pa.array(context[one]), False, held),
+                        (t, f, e, none, none, True, [None] * len(t))):
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array(c_[rows[at]]) for c_ in names), pa.array(lo + shift[at]), pa.array(hi + shift[at]), k, c,
+                         pa.array(np.full(len(at), known)), pa.array(taken, pa.binary())], schema=PLACED)
+
+    return run
 
 
 # --- the family ---
@@ -150,13 +164,12 @@ def named_texts(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def suffixes(texts: DataFrame) -> DataFrame:
-    shape = ", ".join(f"{c} bigint" for c in SUFFIX.names)
-    return texts.select(*TEXT, "text").mapInArrow(suffix_rows, shape)
+    return texts.select("text").mapInArrow(suffix_rows, "key bigint, c bigint, n bigint")
 
 
 @dataclass
 class Level:
-    """A sparse suffix array: distinct contexts with their count and one place, ordered by head and context."""
+    """A sparse suffix array: distinct contexts with their counts, ordered by head and context."""
     batches: int
     rows: DataFrame
 
@@ -166,8 +179,16 @@ def merged(*arrays: DataFrame) -> DataFrame:
     rows = arrays[0]
     for more in arrays[1:]:
         rows = rows.unionByName(more)
-    place = [F.first(c).alias(c) for c in [*TEXT, "first", "last"]]  # all of the same row
-    return rows.groupBy(*CONTEXT).agg(F.sum("n").alias("n"), *place).sortWithinPartitions(*CONTEXT)
+    return store(rows.groupBy(*CONTEXT).agg(F.sum("n").alias("n")).sortWithinPartitions(*CONTEXT), "suffix-array")
+
+
+def sieved(rows: DataFrame, column: str, held: Filter) -> DataFrame:
+    """The rows whose ``column`` may be in a set; no row of the set is lost."""
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(held.has(batch.column(column).to_numpy())))
+
+    return rows.mapInArrow(run, rows.schema)
 
 
 class Family:
@@ -177,36 +198,35 @@ class Family:
         self.levels: list[Level] = []
 
     def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Add the suffixes of a batch of texts. ``t1``, ``t2``, ``first``, ``last`` of the windows, of this batch and of
-        earlier ones, that are now known to be repeated; and the suffixes to be compared by :func:`compared`."""
+        """Add the suffixes of a batch of texts. ``key``, ``c``, ``n`` of the contexts now known to occur more than once,
+        and ``key`` of the heads in different contexts; both of this batch with itself or with earlier ones."""
         self.settle()
-        array = store(merged(batch.where("key is not null").select(*SUFFIX.names)), "suffix-array")
-        place = [*TEXT, "first", "last"]
-        rows = array.withColumn("new", F.col("n")).withColumn("old", F.lit(0).cast("bigint"))
+        array = merged(batch)
+        rows = array.withColumn("new", F.col("n"))
         for level in self.levels:
-            rows = rows.unionByName(level.rows.withColumn("new", F.lit(0).cast("bigint")).withColumn("old", F.col("n")))
-        # The merge scan: equal contexts of the batch and of any level meet, a level's place first where it is the only one.
-        seen = store(rows.groupBy(*CONTEXT).agg(
-            F.sum("new").alias("new"), F.sum("old").alias("old"), F.sum("n").alias("n"),
-            *[F.first(c).alias(c) for c in place],
-            *[F.first(F.when(F.col("old") > 0, F.col(c)), ignorenulls=True).alias(f"old_{c}") for c in place]), "scan")
-        repeated = seen.where("new > 0 and n > 1").select(*CONTEXT, "new")
-        here = join_counted(batch.where("key is not null").select(*place, *CONTEXT), repeated, CONTEXT, "new").select(*place)
-        there = seen.where("new > 0 and old = 1").select(*[F.col(f"old_{c}").alias(c) for c in place])
-        known = batch.where("key is null").select(*place)
-        shared = seen.groupBy("key").agg(F.count("*").alias("contexts"), F.sum("new").alias("fresh"))
-        shared = shared.where("contexts > 1 and fresh > 0").select("key")
-        disputed = seen.join(shared, "key", "left_semi").select(*CONTEXT, *place, "n")
+            rows = rows.unionByName(level.rows.withColumn("new", F.lit(0).cast("bigint")))
+        # The merge scan: first by heads alone, then the contexts of heads that are met again.
+        heads = store(rows.groupBy("key").agg(F.sum("n").alias("n"), F.sum("new").alias("new"))
+                      .where("n > 1 and new > 0").select("key"), "heads")
+        met = store(sieved(rows, "key", Filter(heads, "key")).groupBy(*CONTEXT).agg(
+            F.sum("n").alias("n"), F.sum("new").alias("new")), "scan")
+        disputed = met.groupBy("key").agg(F.count("*").alias("contexts"), F.sum("new").alias("new"))
         self.levels.append(Level(1, array))
-        return here.unionByName(there).unionByName(known), disputed
+        forget(heads)
+        return (met.where("n > 1 and new > 0").select(*CONTEXT, "n"),
+                disputed.where("contexts > 1 and new > 0").select("key"))
 
     def settle(self) -> None:
         """Merge levels of equal size, smallest first."""
         while len(self.levels) > 1 and self.levels[-1].batches >= self.levels[-2].batches:
             b, a = self.levels.pop(), self.levels.pop()
-            self.levels.append(Level(a.batches + b.batches, store(merged(a.rows, b.rows), "suffix-array")))
+            self.levels.append(Level(a.batches + b.batches, merged(a.rows, b.rows)))
             forget(a.rows, b.rows)
 
+    def drop(self) -> None:
+        forget(*[level.rows for level in self.levels])
+        self.levels = []
+
 
 # --- comparison of contexts ---
 
@@ -301,36 +321,17 @@ def crowded_windows(rows: DataFrame) -> DataFrame:
     return some.select(*TEXT, F.explode(places).alias("first")).withColumn("last", F.col("first"))
 
 
-@F.pandas_udf(ArrayType(BinaryType()))
-def slices(text: pd.Series, places: pd.Series) -> pd.Series:
-    return pd.Series([cut(t.encode("utf-8", "surrogatepass"), ps) for t, ps in zip(text, places)])
-
-
-def cut(data: bytes, places) -> list[bytes]:
-    return [data[p["first"]:p["last"] + LENGTH] for p in places]
-
-
-def distinct_texts(texts: DataFrame) -> DataFrame:
-    return texts.groupBy(*TEXT).agg(F.first("text").alias("text"))
-
-
-def compared(disputed: DataFrame, texts: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """``t1``, ``t2``, ``first``, ``last`` of the windows that disputed contexts share with each other."""
-    some = store(disputed.groupBy(*CONTEXT).agg(F.max("n").alias("n"), *[F.first(c).alias(c) for c in (*TEXT, "first", "last")]), "disputed")
-    wanted = some.groupBy(*TEXT).agg(F.collect_list(F.struct("key", "first", "last", "n")).alias("places"))  # of one text
-    found = (distinct_texts(texts).join(wanted, TEXT)
-             .select(*TEXT, F.explode(F.arrays_zip("places", slices("text", "places").alias("bytes"))).alias("s"))
-             .select(*TEXT, "s.places.*", F.col("s.bytes").alias("bytes")))
-    sized = some.groupBy("key").count().where(F.col("count") > crowd).select("key")
-    crowded = not is_empty(sized)
-    if crowded:
-        # fewer heads than suffixes / crowd, but that grows with the data: no broadcast is asked for
-        found = store(found, "contexts")
-        few = found.join(sized, "key", "left_anti")
-    else:
-        few = found
-    out = few.repartition("key").sortWithinPartitions("key").mapInPandas(heads_in_task, PLACE)
-    return out.unionByName(crowded_windows(found.join(sized, "key", "left_semi"))) if crowded else out
+def compared(found: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """``t1``, ``t2``, ``first``, ``last`` of the windows that contexts of one head share with each other. ``found``: places with
+    ``bytes``; one place of each context is compared, and windows are marked for contexts with no other."""
+    place = [F.first(c).alias(c) for c in (*TEXT, "first", "last", "bytes")]
+    some = store(found.groupBy(*CONTEXT).agg(F.count("*").alias("n"), *place), "contexts")
+    crowded = some.groupBy("key").count().where(F.col("count") > crowd).select("key")
+    # There are fewer such heads than contexts / crowd, but that grows with the data: no broadcast is asked for.
+    few = some if is_empty(crowded) else some.join(crowded, "key", "left_anti")
+    out = few.repartition("key").sortWithinPartitions("key").select("key", *TEXT, "first", "bytes", "n").mapInPandas(
+        heads_in_task, PLACE)
+    return out if few is some else out.unionByName(crowded_windows(some.join(crowded, "key", "left_semi")))
 
 
 # --- results ---
@@ -363,16 +364,27 @@ def cleaned(text: pd.Series, places: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["spans", "kept", "n_bytes", "kept_sha256"])
 
 
+def distinct_texts(texts: DataFrame) -> DataFrame:
+    return texts.groupBy(*TEXT).agg(F.first("text").alias("text"))
+
+
 def repeated(docs: DataFrame, text_col: str = "text", batches: int = BATCHES, crowd: int = CROWD) -> DataFrame:
     """``t1``, ``t2``, ``places``: the repeated windows of every distinct text that has any."""
     texts = named_texts(docs, text_col)
-    every = store(suffixes(texts).withColumn("batch", F.pmod("t1", F.lit(batches))), "suffixes")
-    family, places, disputed = Family(), None, None
+    family, scans = Family(), []
     for k in range(batches):
-        found, open_ = family.add(every.where(F.col("batch") == k).drop("batch"))
-        places = found if places is None else places.unionByName(found)
-        disputed = open_ if disputed is None else disputed.unionByName(open_)
-    places = places.unionByName(compared(disputed, texts, crowd)).distinct()
+        scans.append(family.add(suffixes(texts.where(F.pmod("t1", F.lit(batches)) == k))))
+    family.drop()
+    again, heads = (functools.reduce(DataFrame.unionByName, side) for side in zip(*scans))
+    again = store(again.groupBy(*CONTEXT).agg(F.max("n").alias("n")), "repeated")
+    heads = store(heads.distinct(), "disputed")
+    shape = ", ".join(f"{c} bigint" for c in [*TEXT, "first", "last", *CONTEXT]) + ", known boolean, bytes binary"
+    found = store(texts.select(*TEXT, "text").mapInArrow(placed_rows(Filter(again, "c"), Filter(heads, "key")), shape), "places")
+    place = [*TEXT, "first", "last"]
+    narrow = found.select(*place, *CONTEXT, "known")
+    certain = join_counted(narrow.where("not known").drop("known"), again, CONTEXT, "n").select(*place)
+    open_ = found.where("bytes is not null")
+    places = certain.unionByName(narrow.where("known").select(*place)).unionByName(compared(open_, crowd)).distinct()
     return places.groupBy(*TEXT).agg(F.collect_list(F.struct("first", "last")).alias("places"))  # of one text
 
 
