@@ -19,6 +19,7 @@ phrase, gives an empty result. Ties: of cuts to the one with the shorter first p
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewtide.llm.common import forget, is_empty, store
+from viewtide.llm.common import forget, is_empty, join_counted, store
 
 LONGEST = 5
 LEAST = 100             # occurrences of a candidate
@@ -212,7 +213,9 @@ def materialised(grams: DataFrame, texts: DataFrame, bits: int) -> DataFrame:
                .withColumn("place", F.col("at").bitwiseAND(F.lit((1 << POSITION_BITS) - 1)))
                .groupBy("key").agg(F.collect_list(F.struct("place", "n", "fp")).alias("wanted")))  # within one text
     # Equal texts have one key; only one of them is read. Different texts with one key are told apart by the fingerprint.
-    one = (texts.join(pointed.select("key"), "key", "left_semi").withColumn("twin", F.xxhash64(F.lit(1), "lang", "text"))
+    sizes = texts.groupBy("key").count()
+    one = (join_counted(texts, pointed.select("key").join(sizes, "key"), ["key"], "count").drop("count")
+           .withColumn("twin", F.xxhash64(F.lit(1), "lang", "text"))
            .groupBy("key", "twin").agg(F.first("lang").alias("lang"), F.first("text").alias("text")))
 
     def read(batches):
@@ -247,15 +250,14 @@ def recounted(texts: DataFrame, doubtful: DataFrame, least: int, bits: int) -> D
         for batch in batches:
             names = batch.column("lang").to_pylist()
             for first, words, languages in text_blocks(batch):
-                out = []
+                seen = Counter()
                 for n in lengths:
                     i = words.grams(n)
                     fp = words.prints(i, n, languages, bits)[0]
                     hit = sieve[n].has(fp)
-                    out += [(n, f, names[first + words.text[j]], words.phrase(j, n)) for j, f in zip(i[hit], fp[hit].tolist())]
-                table = pd.DataFrame(out, columns=["n", "fp", "lang", "phrase"]).value_counts(sort=False).reset_index(name="a")
-                yield pa.RecordBatch.from_pandas(table.astype({"n": "int32", "fp": "int64", "a": "int64"}), schema=shape,
-                                                 preserve_index=False)
+                    seen.update((n, f, names[first + words.text[j]], words.phrase(j, n)) for j, f in zip(i[hit], fp[hit].tolist()))
+                columns = [*zip(*seen), seen.values()] if seen else [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, shape.types)], schema=shape)
 
     shape = pa.schema([("n", pa.int32()), ("fp", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("a", pa.int64())])
     rows = texts.select("lang", "text").mapInArrow(emit, "n int, fp bigint, lang string, phrase string, a bigint")
