@@ -105,3 +105,76 @@ def test_close_idle(make_events):
                      {"event_timestamp": T0 + 80 * M, "event_type": "exit"})
     got = sorted((r["events"], r["was_force_closed"]) for r in sessions.close_idle(df).collect())
     assert got == [(1, False), (2, True)]
+
+
+def test_moved_copy_and_old_session_in_micro_batches(spark, make_events, tmp_path, monkeypatch):
+    """A newer copy dated days later replaces its event, and a session a year old costs its own days only."""
+    root = str(tmp_path / "zone")
+    titles = spark.createDataFrame([(1, 4)], "title_key bigint, runtime_minutes int")
+    read = []
+    plain = sessions.on_days
+    monkeypatch.setattr(sessions, "on_days", lambda e, days: read.append(list(days)) or plain(e, days))
+
+    def resolve(df):
+        return df.withColumns({k: F.lit(1).cast("bigint") for k in facts.FK_COLS})
+
+    def update(*rows):
+        sessions.update_sessions(conformed(make_events(*rows)), f"{root}/raw", f"{root}/bad", f"{root}/fact", resolve, titles)
+
+    year, day = T0 - dt.timedelta(days=365), dt.timedelta(days=1)
+    late = dt.timedelta(days=300)
+    update({"event_id": "old", "session_id": "s0", "event_timestamp": year, "server_received_at": year},
+           {"event_id": "a", "session_id": "s1", "event_timestamp": T0, "server_received_at": T0})
+    for k in range(1, 4):
+        at_ = T0 + k * day
+        update({"event_id": f"b{k}", "session_id": f"t{k}", "event_timestamp": at_, "server_received_at": at_})
+    update({"event_id": "a", "session_id": "s1", "event_timestamp": T0 + 4 * day, "server_received_at": T0 + 4 * day},
+           {"event_id": "new", "session_id": "s0", "event_timestamp": T0 + 4 * day, "server_received_at": T0 + 4 * day})
+    assert read[-1] == [year.date(), T0.date(), (T0 + 4 * day).date()] and late > day
+    raw = tables.read_table(spark, f"{root}/raw")
+    assert raw.count() == 6 == raw.select("event_id").distinct().count()
+    fact = {r["session_id"]: r for r in tables.read_table(spark, f"{root}/fact").collect()}
+    assert len(fact) == 5 and fact["s1"]["session_start_date"] == (T0 + 4 * day).date()
+    assert fact["s0"]["session_start_date"] == year.date() and len(fact["s0"]["event_days"]) == 2
+
+
+def test_late_table_takes_what_the_watermark_leaves_behind(spark, make_events, tmp_path):
+    wire, out, late, log = (str(tmp_path / n) for n in ("wire", "out", "late", "log"))
+    order = [0, 50, 3, 49, 100, 98, 2, 101]  # hours; the horizon is ten
+    first = make_events({})
+    for k, h in enumerate(order):
+        rows = [{"event_id": f"e{h}", "event_timestamp": T0 + h * 60 * M}, {"event_id": "e0", "event_timestamp": T0 + h * 60 * M}]
+        make_events(*rows).coalesce(1).write.mode("append").parquet(wire)
+        if k in (3, 7):  # a restart in between
+            source = spark.readStream.schema(first.schema).option("maxFilesPerTrigger", 1).parquet(wire)
+            landing.drain(events.dedup_with_late_table(source, out, late, log, 10 * 3600))
+    kept = sorted(r.event_id for r in spark.read.schema(first.schema).parquet(out).collect())
+    behind = {r.event_id for r in spark.read.schema(first.schema).parquet(late).collect()}
+    assert {"e3", "e2"} <= behind and set(kept) | behind == {f"e{h}" for h in order} and not {"e49", "e98"} & behind
+    assert all(kept.count(k) == 1 for k in kept if k != "e0")  # e0 comes again beyond the horizon
+
+
+def test_timers_close_silent_sessions_after_a_restart(spark, tmp_path):
+    wire, log, out = (str(tmp_path / n) for n in ("wire", "log", "out"))
+    ddl = "session_id string, event_timestamp timestamp, event_type string"
+
+    def minute(n):
+        return T0 + n * M
+
+    runs = [[("a", minute(10), "play"), ("a", minute(0), "play"), ("b", minute(5), "exit")],
+            [("a", minute(25), "play"), ("b", minute(200), "play"), ("c", minute(400), "play")],
+            [("z", minute(3000), "play")]]
+    before = {k: spark.conf.get(k) for k in sessions.STATE_STORE}
+    try:
+        for k, v in sessions.STATE_STORE.items():
+            spark.conf.set(k, v)
+        for rows in runs:
+            spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(wire)
+            stream = sessions.close_idle_by_timer(spark.readStream.schema(ddl).parquet(wire), 1800, "1 hour")
+            landing.drain(stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", log)
+                          .trigger(availableNow=True).start())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    got = sorted((r["session_id"], r["events"], r["was_force_closed"]) for r in spark.read.parquet(out).collect())
+    assert got == [("a", 3, True), ("b", 1, False), ("b", 1, True), ("c", 1, True)]
