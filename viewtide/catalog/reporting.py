@@ -97,6 +97,7 @@ def cohort_retention(p):
           AS rn FROM raw) b ON s.session_id = b.session_id LEFT JOIN dim_device d ON s.device_key = d.device_key
           GROUP BY 1, 2, 3, 4, 5""")
 def device_quality(p):
+    p = p.stored("raw", "fact_sessions")
     return marts.device_quality(p.raw, p.fact_sessions, p.dim_device)
 
 
@@ -279,6 +280,7 @@ def watch_by_device_type(p):
           AS p50_kbps, quantile_cont(bitrate_kbps, 0.9) AS p90_kbps FROM fact_events e JOIN dim_device d
           ON e.device_key = d.device_key GROUP BY 1""")
 def bitrate_by_platform(p):
+    p = p.stored("fact_events")
     return reports.bitrate_by_platform(p.fact_events, p.dim_device)
 
 

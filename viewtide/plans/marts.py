@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewtide.functions.scalars import count_where, decile, exact_ratio, explode_list
-from viewtide.operators.joins import attach, null_safe_join, share_of_total
+from viewtide.operators.joins import attach, share_of_total
 from viewtide.sources import tables
 from viewtide.sources.metrics import assert_checks
 
@@ -124,12 +124,11 @@ def cohort_retention(customers: DataFrame, sessions: DataFrame) -> DataFrame:
 def device_quality(events: DataFrame, sessions: DataFrame, devices: DataFrame) -> DataFrame:
     """Per device version and day: sessions, viewers, watch time, mean bitrate of the events, completion rate."""
     grain = [DAY, "device_key", "device_version_key"]
-    from_sessions = _of_day(sessions, None).groupBy(*grain).agg(*_measures())
     bitrate = (events.select("session_id", "bitrate_kbps")
                .groupBy("session_id").agg(F.sum("bitrate_kbps").alias("kbps"), F.count("bitrate_kbps").alias("n")))
-    per_grain = (_of_day(sessions, None).select(*grain, "session_id").join(bitrate, "session_id")
-                 .groupBy(*grain).agg(F.sum("kbps").alias("kbps"), F.sum("n").alias("n")))
-    merged = null_safe_join(_rates(from_sessions), per_grain, grain, "left")
+    # One pass over either fact: a session brings the sums of its events to its group.
+    rows = _of_day(sessions, None).join(bitrate, "session_id", "left")
+    merged = _rates(rows.groupBy(*grain).agg(*_measures(), F.sum("kbps").alias("kbps"), F.sum("n").alias("n")))
     avg_kbps = F.floor(F.try_divide(F.col("kbps").cast("decimal(20,0)"), F.col("n").cast("decimal(20,0)")))
     return attach(merged.withColumn("avg_bitrate_kbps", avg_kbps.cast("int")), devices, "device_key",
                   ["device_type", "platform"]).select(
