@@ -3,8 +3,8 @@
 Each text becomes a short vector of statistics (shares of kinds of characters, word and line shapes, repetition), moved by
 logarithms to scales on which the two classes are closer to Gaussian. Class means and covariances are sums over all
 labelled rows, added up per partition and then on the driver (two classes of d + d*d numbers, whatever the input). Each
-covariance is shrunk towards the pooled one and towards a multiple of the identity, and its Cholesky factor is kept with
-the model; a document's score is the logistic of the difference of its two log-densities and the log prior odds.
+covariance is shrunk towards the pooled one, a share of the pooled variances is added to its diagonal, and its Cholesky factor
+is kept with the model; a document's score is the logistic of the difference of its two log-densities and the log prior odds.
 
 Defined results: a null text counts as an empty one; an empty text has the vector of zeros and is scored like any other; labels
 other than 0 and 1 and null labels are not learned from; repeated rows count as often as they occur; with a class
@@ -28,7 +28,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 from viewtide.llm.common import fold, fresh, store
 
 POOL = 0.1         # shrinkage of a class covariance towards the pooled one
-RIDGE = 0.02       # shrinkage towards the identity times the mean variance
+RIDGE = 0.02       # share of the pooled variances that is added to the diagonal
 THRESHOLD = 0.3
 FIT_ROWS = 50_000  # labelled rows that the pipeline's stage fits on, at most, by hash of the id
 FOLDS = 5
