@@ -164,3 +164,24 @@ def test_pieces_count_like_the_whole(monkeypatch):
     whole = language.gram_counts(text)
     monkeypatch.setattr(language, "PIECE", 37)
     assert np.array_equal(language.gram_counts(text), whole)
+
+
+def test_sample_of_rows_without_ids_or_with_repeated_ones_is_bounded(spark, corpus, monkeypatch):
+    """Rows are drawn by a hash of the row, so a missing or repeated id draws no more of them; equal rows count once."""
+    kept = {}
+    plain = language.store
+
+    def counting(df, name):
+        out = plain(df, name)
+        kept[name] = out
+        return out
+
+    monkeypatch.setattr(language, "store", counting)
+    monkeypatch.setattr(language, "FIT_ROWS", 40)
+    docs = [(None, *d[1:]) for d in corpus[0]] + [(7, *d[1:]) for d in corpus[0]] + [corpus[0][0]] * 300
+    df = spark.createDataFrame(docs, DOC)
+    found = language.languages(df).collect()
+    fit = kept["language-fit"].groupBy("f_g").count().collect()
+    assert len(fit) == 3 and all(r["count"] == 40 for r in fit)
+    right = sum(r.lang_pred == d[2] for r, d in zip(sorted(found, key=lambda r: r.doc_id is not None)[:600], corpus[0]))
+    assert len(found) == len(docs) and right > 0
