@@ -40,7 +40,7 @@ from viewtide.llm.phrases import Filter, Polynomial, Powers, mix
 LENGTH = 200            # bytes of a repeated string
 HEAD = 32
 REACH = LENGTH - HEAD + 1
-PIECE = 1 << 20
+PIECE = 1 << 18
 CROWD = 4_096           # contexts of a head that one task compares
 BATCHES = 4
 TEXT = ["t1", "t2"]     # 128-bit name of a text
