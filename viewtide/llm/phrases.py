@@ -7,7 +7,7 @@ pointer to one occurrence (hash of the document, word number). Only frequent phr
 their pointers, and verified: the second hash of the text found there, times the count, must equal the sum over all
 occurrences. Phrases that share a fingerprint with another fail that test and are counted again by their text.
 
-Lengths are counted one after the other. An n-gram is looked at only if both (n-1)-grams in it may be frequent, which a bitmap of
+Lengths are counted one after the other, first by 32 bits of the fingerprint alone. An n-gram is looked at only if both (n-1)-grams in it may be frequent, which a bitmap of
 ``FILTER_BITS`` bits (at most 8 MB, whatever the data) says without false negatives. On tables with far more frequent
 phrases than bits the bitmap lets more through, which costs work and changes no result.
 
@@ -177,18 +177,18 @@ def hopeful(words: Words, n: int, languages: np.ndarray, bits: int, shorter: Fil
     return i[shorter.has(words.prints(i + 1, n - 1, languages, bits)[0])]
 
 
-def counted(texts: DataFrame, n: int, shorter: Filter | None, least: int, bits: int) -> DataFrame:
-    """``fp``, ``a``, ``check``, ``at`` of the n-grams with ``least`` occurrences, stored."""
+SLOT = (1 << 32) - 1
+
 
+def in_batches(columns: list[str], add):
+    """Function of batches of texts that sums the rows of ``add(key, first, words, languages)`` per fingerprint before it
+    hands them on; it holds at most ``MERGE_ROWS`` of them."""
     def emit(batches):
         held, size = [], 0
         for batch in batches:
             key = batch.column("key").to_numpy()
             for first, words, languages in text_blocks(batch):
-                i = hopeful(words, n, languages, bits, shorter)
-                fp, check = words.prints(i, n, languages, bits)
-                at = (key[first + words.text[i]] << POSITION_BITS) | words.place[i]
-                held.append(summed([fp, np.ones(len(fp), np.int64), check, at]))
+                held.append(summed(add(key, first, words, languages)))
                 size += len(held[-1][0])
                 if size > MERGE_ROWS:
                     held = [summed([np.concatenate(c) for c in zip(*held)])]
@@ -199,10 +199,38 @@ def counted(texts: DataFrame, n: int, shorter: Filter | None, least: int, bits:
         if held:
             yield as_batch(summed([np.concatenate(c) for c in zip(*held)]))
 
-    def as_batch(columns):
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["fp", "n", "check", "at"])
+    def as_batch(values):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in values[:len(columns)]], names=columns)
+
+    return emit
+
 
-    rows = texts.select("key", "lang", "text").mapInArrow(emit, "fp bigint, n bigint, check bigint, at bigint")
+def counted(texts: DataFrame, n: int, shorter: Filter | None, least: int, bits: int) -> DataFrame:
+    """``fp``, ``a``, ``check``, ``at`` of the n-grams with ``least`` occurrences, stored.
+
+    Most n-grams are rare. A first pass counts 32 bits of the fingerprints, which loses none that is frequent; only what
+    they let through is counted with check sums and pointers.
+    """
+    def slots(key, first, words, languages):
+        fp, _ = words.prints(hopeful(words, n, languages, bits, shorter), n, languages, bits)
+        one = np.ones(len(fp), np.int64)
+        return [fp & SLOT, one, one, one]
+
+    read = texts.select("key", "lang", "text")
+    sums = read.mapInArrow(in_batches(["fp", "n"], slots), "fp bigint, n bigint").groupBy("fp").agg(F.sum("n").alias("n"))
+    common = store(sums.where(F.col("n") >= least).select("fp"), f"slots-{n}")
+    often = Filter(common)
+    forget(common)
+
+    def grams(key, first, words, languages):
+        i = hopeful(words, n, languages, bits, shorter)
+        fp, check = words.prints(i, n, languages, bits)
+        keep = often.has(fp)
+        i, fp, check = i[keep], fp[keep], check[keep]
+        at = (key[first + words.text[i]] << POSITION_BITS) | words.place[i]
+        return [fp, np.ones(len(fp), np.int64), check, at]
+
+    rows = read.mapInArrow(in_batches(["fp", "n", "check", "at"], grams), "fp bigint, n bigint, check bigint, at bigint")
     return store(rows.groupBy("fp").agg(F.sum("n").alias("a"), F.sum("check").alias("check"), F.min("at").alias("at"))
                  .where(F.col("a") >= least), f"grams-{n}")
 
