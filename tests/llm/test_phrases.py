@@ -89,3 +89,15 @@ def test_filter_has_no_false_negatives(spark):
     held = phrases.Filter(spark.createDataFrame([(v,) for v in values], "fp bigint"))
     import numpy as np
     assert held.has(np.array(values)).all() and not held.has(np.array([100, 5000, 70_000])).any()
+
+
+def test_only_pairs_are_counted_by_slots_first(spark, rows, monkeypatch):
+    """A second pass hands over every frequent n-gram once a task, which outgrows the texts; words and filtered n-grams go
+    through one pass."""
+    written = []
+    plain = phrases.store
+    monkeypatch.setattr(phrases, "store", lambda df, name: written.append(name) or plain(df, name))
+    got = phrases.collocations(table(spark, rows), least=12).collect()
+    assert len(got) == len(brute(rows, 12))
+    assert [n for n in written if n.startswith("slots-")] == ["slots-2"]
+    assert [n for n in written if n.startswith("grams-")] == [f"grams-{n}" for n in range(1, 6)]

@@ -7,8 +7,8 @@ pointer to one occurrence (hash of the document, word number). Only frequent phr
 their pointers, and verified: the second hash of the text found there, times the count, must equal the sum over all
 occurrences. Phrases that share a fingerprint with another fail that test and are counted again by their text.
 
-Lengths are counted one after the other, first by 32 bits of the fingerprint alone. An n-gram is looked at only if both (n-1)-grams in it may be frequent, which a bitmap of
-``FILTER_BITS`` bits (at most 8 MB, whatever the data) says without false negatives. On tables with far more frequent
+Lengths are counted one after the other, pairs first by 32 bits of the fingerprint alone. An n-gram is looked at only if both
+(n-1)-grams in it may be frequent, which a bitmap of ``FILTER_BITS`` bits (at most 8 MB, whatever the data) says without false negatives. On tables with far more frequent
 phrases than bits the bitmap lets more through, which costs work and changes no result.
 
 Defined results: a null text is empty, a null language ``und``; A-Z are lower-cased; repeated rows count each; ids are not looked
@@ -178,6 +178,7 @@ def hopeful(words: Words, n: int, languages: np.ndarray, bits: int, shorter: Fil
 
 
 SLOT = (1 << 32) - 1
+SIEVED = 2  # words of the n-grams that are counted by their slots first: the only ones of which most are rare and unfiltered
 
 
 def in_batches(columns: list[str], add):
@@ -208,25 +209,30 @@ def in_batches(columns: list[str], add):
 def counted(texts: DataFrame, n: int, shorter: Filter | None, least: int, bits: int) -> DataFrame:
     """``fp``, ``a``, ``check``, ``at`` of the n-grams with ``least`` occurrences, stored.
 
-    Most n-grams are rare. A first pass counts 32 bits of the fingerprints, which loses none that is frequent; only what
-    they let through is counted with check sums and pointers.
+    Most n-grams of ``SIEVED`` words are rare. A first pass counts 32 bits of their fingerprints, which loses none that is
+    frequent; only what they let through is counted with check sums and pointers. Words repeat within a task, and longer
+    n-grams have passed the filter: they are counted at once, so the rows of a length grow with the texts and not with the
+    phrases that become frequent times the tasks.
     """
-    def slots(key, first, words, languages):
-        fp, _ = words.prints(hopeful(words, n, languages, bits, shorter), n, languages, bits)
-        one = np.ones(len(fp), np.int64)
-        return [fp & SLOT, one, one, one]
-
     read = texts.select("key", "lang", "text")
-    sums = read.mapInArrow(in_batches(["fp", "n"], slots), "fp bigint, n bigint").groupBy("fp").agg(F.sum("n").alias("n"))
-    common = store(sums.where(F.col("n") >= least).select("fp"), f"slots-{n}")
-    often = Filter(common)
-    forget(common)
+    often = None
+    if n == SIEVED:
+        def slots(key, first, words, languages):
+            fp, _ = words.prints(hopeful(words, n, languages, bits, shorter), n, languages, bits)
+            one = np.ones(len(fp), np.int64)
+            return [fp & SLOT, one, one, one]
+
+        sums = read.mapInArrow(in_batches(["fp", "n"], slots), "fp bigint, n bigint").groupBy("fp").agg(F.sum("n").alias("n"))
+        common = store(sums.where(F.col("n") >= least).select("fp"), f"slots-{n}")
+        often = Filter(common)
+        forget(common)
 
     def grams(key, first, words, languages):
         i = hopeful(words, n, languages, bits, shorter)
         fp, check = words.prints(i, n, languages, bits)
-        keep = often.has(fp)
-        i, fp, check = i[keep], fp[keep], check[keep]
+        if often is not None:
+            keep = often.has(fp)
+            i, fp, check = i[keep], fp[keep], check[keep]
         at = (key[first + words.text[i]] << POSITION_BITS) | words.place[i]
         return [fp, np.ones(len(fp), np.int64), check, at]
 
