@@ -1,6 +1,7 @@
 """Table sinks: upsert semantics, moved keys, interrupted writers, compaction, retention."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -314,3 +315,12 @@ def test_many_partitions_are_pruned_by_range(spark, path, monkeypatch):
     put(spark.range(0, 60, 7).selectExpr("id", "cast(id % 11 as int) as part", "2 as ver"), path)
     rows = spark.read.parquet(path)
     assert rows.count() == 60 and rows.where("ver = 2 and part = id % 11").count() == 9
+
+
+def test_rows_are_computed_in_many_tasks_whatever_the_file_size(spark, path):
+    """The shuffles before the gathering are not merged to the size of a file."""
+    rows = spark.range(600_000).select(F.xxhash64("id").alias("id")).groupBy("id").count()
+    tables.replace_table(rows.withColumn("task", F.spark_partition_id()), path)
+    stored = tables.read_table(spark, path)
+    assert stored.count() == 600_000 and stored.select("task").distinct().count() > 1
+    assert [n for n in os.listdir(path) if n.startswith("_") and n != "_SUCCESS"] == []

@@ -53,12 +53,25 @@ def _sized(spark: SparkSession, target_bytes: int):
             spark.conf.set(k, v)
 
 
-def _write(df: DataFrame, path: str, parts: Sequence[str] = (), sort: Sequence[str] = (), mode: str = "errorifexists",
-           target_bytes: int = schema.TARGET_FILE_BYTES) -> None:
+def _write(df: DataFrame, path: str, rows_path: str, parts: Sequence[str] = (), sort: Sequence[str] = (),
+           mode: str = "errorifexists", target_bytes: int = schema.TARGET_FILE_BYTES) -> None:
     """Parquet files of about ``target_bytes`` of shuffled rows, gathered per partition value (AQE's REBALANCE merges small
-    and splits large ones) and, with ``sort``, sorted inside, so that each file holds a narrow range."""
-    rows = sorted_layout(df, parts, sort) if sort else df.hint("rebalance", *parts)
-    with _sized(df.sparkSession, target_bytes):
+    and splits large ones) and, with ``sort``, sorted inside, so that each file holds a narrow range.
+
+    The size of a file is far too much for a task that joins or sorts, and AQE would merge every shuffle of the plan to it.
+    So the rows are first written to ``rows_path`` as they are computed, and only their gathering goes by ``target_bytes``.
+    """
+    spark = df.sparkSession
+    df.write.parquet(rows_path)
+    _gather(spark.read.schema(df.schema).parquet(rows_path), path, parts, sort, mode, target_bytes)
+    Files(spark, rows_path).delete(rows_path)
+
+
+def _gather(rows: DataFrame, path: str, parts: Sequence[str] = (), sort: Sequence[str] = (), mode: str = "errorifexists",
+             target_bytes: int = schema.TARGET_FILE_BYTES) -> None:
+    """The files of :func:`_write` from stored rows."""
+    rows = sorted_layout(rows, parts, sort) if sort else rows.hint("rebalance", *parts)
+    with _sized(rows.sparkSession, target_bytes):
         (rows.write.partitionBy(*parts) if parts else rows.write).mode(mode).parquet(path)
 
 
@@ -118,7 +131,7 @@ def replace_table(df: DataFrame, path: str, parts: Sequence[str] = (), sort: Seq
     files = Files(df.sparkSession, path)
     roll_forward(df.sparkSession, path)
     stage = f"{path}/_stage-{uuid.uuid4().hex}"
-    _write(df, f"{stage}/data", parts, sort)
+    _write(df, f"{stage}/data", f"{stage}/rows", parts, sort)
     _drop_index(files, path)
     _publish(files, path, stage, [], whole=True)
 
@@ -126,13 +139,16 @@ def replace_table(df: DataFrame, path: str, parts: Sequence[str] = (), sort: Seq
 def write_sized(df: DataFrame, path: str, parts: Sequence[str] = (),
                 target_bytes: int = schema.TARGET_FILE_BYTES) -> None:
     """A new table with another file size than the default."""
-    _write(df, path, parts, target_bytes=target_bytes)
+    _write(df, path, f"{path}-rows-{uuid.uuid4().hex}", parts, target_bytes=target_bytes)
 
 
 def append(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
+    files = Files(df.sparkSession, path)
     roll_forward(df.sparkSession, path)
-    _drop_index(Files(df.sparkSession, path), path)
-    _write(df, path, parts, mode="append")
+    _drop_index(files, path)
+    stage = f"{path}/_stage-{uuid.uuid4().hex}"  # has no plan file: discarded if this is interrupted
+    _write(df, path, f"{stage}/rows", parts, mode="append")
+    files.delete(stage)
 
 
 def _relative(spark: SparkSession, parts: Sequence[str], values: Sequence[object]) -> str:
@@ -234,7 +250,7 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str
     tie = F.xxhash64(*[F.col(c) for c in batch.columns])
     newest = latest_per_key(batch.withColumn("__tie", tie), keys, [*order, "__tie"]).drop("__tie")
     if not table_exists(spark, path):
-        _write(newest, f"{stage}/data", parts, sort)
+        _write(newest, f"{stage}/data", f"{stage}/rows", parts, sort)
         _drop_index(files, path)
         _publish(files, path, stage, [], whole=not parts)
         return
@@ -270,7 +286,7 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str
     mine = _age(order)
     winners = survivors(incoming, old, F.col("__rival") > mine)
     merged = survivors(old, incoming, F.col("__rival") >= mine).unionByName(winners)
-    _write(merged, f"{stage}/data", parts, sort)
+    _write(merged, f"{stage}/data", f"{stage}/rows", parts, sort)
     index = []
     if parts:
         versions = _index_versions(files, path, keys)
@@ -291,7 +307,7 @@ def replace_partitions(df: DataFrame, path: str, part: str, values: Sequence[obj
     roll_forward(spark, path)
     stage = f"{path}/_stage-{uuid.uuid4().hex}"
     wanted = _in_partitions(df, [part], [(v,) for v in values])
-    _write(wanted, f"{stage}/data", [part])
+    _write(wanted, f"{stage}/data", f"{stage}/rows", [part])
     _drop_index(files, path)
     _publish(files, path, stage, [_relative(spark, [part], (v,)) for v in values])
 
