@@ -324,3 +324,14 @@ def test_rows_are_computed_in_many_tasks_whatever_the_file_size(spark, path):
     stored = tables.read_table(spark, path)
     assert stored.count() == 600_000 and stored.select("task").distinct().count() > 1
     assert [n for n in os.listdir(path) if n.startswith("_") and n != "_SUCCESS"] == []
+
+
+def test_unsorted_rows_are_written_without_a_sort(spark, path):
+    """Files of a size are gathered with several partitions open side by side, and the settings are put back."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    with tables._sized(spark, 1 << 20):
+        assert int(spark.conf.get(name)) == tables.OPEN_FILES > 1
+    assert spark.conf.get(name) == before
+    tables.append(spark.range(5000).selectExpr("id", "id % 150 as part"), path, ["part"])  # more than are open
+    assert tables.read_table(spark, path).groupBy("part").count().where("count in (33, 34)").count() == 150

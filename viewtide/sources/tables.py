@@ -35,14 +35,17 @@ _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 _INDEX = "_keys-"
 INDEX_VERSIONS = 16     # versions after which an index is rewritten as one
+OPEN_FILES = 64         # partitions a task writes side by side; it sorts the rows of any further ones
 LISTED = 1_000          # partition values up to which a scan is pruned by a list, beyond that by their range
 
 
 @contextmanager
 def _sized(spark: SparkSession, target_bytes: int):
-    """Let a rebalance merge and split its partitions to about ``target_bytes``."""
+    """Let a rebalance merge and split its partitions to about ``target_bytes``. Unsorted rows go to the open files of up to
+    ``OPEN_FILES`` partitions, so a task holds encoded columns and no sorted copy of its rows."""
     wanted = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
-              "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+              "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+              "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}
     before = {k: spark.conf.get(k) for k in wanted}
     for k, v in wanted.items():
         spark.conf.set(k, v)
