@@ -335,3 +335,13 @@ def test_unsorted_rows_are_written_without_a_sort(spark, path):
     assert spark.conf.get(name) == before
     tables.append(spark.range(5000).selectExpr("id", "id % 150 as part"), path, ["part"])  # more than are open
     assert tables.read_table(spark, path).groupBy("part").count().where("count in (33, 34)").count() == 150
+
+
+def test_newest_place_of_a_key_needs_no_sort(spark, path):
+    """Keys and dates of the index are summed by hash; the newest version gives the partition, NULL too."""
+    put(frame(spark, (1, 1, 0, 1, "a"), (2, 1, 0, 1, "b")), path)
+    put(frame(spark, (1, 2, 0, 2, "c"), (2, None, 0, 2, "d")), path)
+    put(frame(spark, (2, None, 0, 3, "e")), path)  # stays where it is
+    places = tables._places(spark, path, ["id"], ["part"], spark.createDataFrame([], DDL).schema)
+    assert {r["id"]: r["part"] for r in places.collect()} == {1: 2, 2: None}
+    assert "SortAggregate" not in places._jdf.queryExecution().toString()

@@ -210,7 +210,8 @@ def _places(spark: SparkSession, path: str, keys: Sequence[str], parts: Sequence
     rows = spark.read.schema(fields).parquet(_index_of(path, keys))
     if wanted is not None:
         rows = null_safe_join(rows, wanted.select(*keys), keys, "left_semi")
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*parts), "v").alias("__at")).select(*keys, "__at.*")
+    # A version holds a key once, so the columns are of one row; taken one by one, dates and numbers need no sort.
+    return rows.groupBy(*keys).agg(*[F.max_by(c, "v").alias(c) for c in parts])
 
 
 def _require_index(spark: SparkSession, path: str, keys: Sequence[str], parts: Sequence[str], table: T.StructType) -> None:
