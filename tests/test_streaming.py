@@ -5,6 +5,8 @@ import datetime as dt
 from conftest import at
 from pyspark.sql import functions as F
 
+from viewtide.bind import Playback
+from viewtide.catalog import QUERIES
 from viewtide.plans import facts
 from viewtide.plans.raw import newest_events, split_quarantine
 from viewtide.sources import readers, tables
@@ -178,3 +180,11 @@ def test_timers_close_silent_sessions_after_a_restart(spark, tmp_path):
             spark.conf.set(k, v)
     got = sorted((r["session_id"], r["events"], r["was_force_closed"]) for r in spark.read.parquet(out).collect())
     assert got == [("a", 3, True), ("b", 1, False), ("b", 1, True), ("c", 1, True)]
+
+
+def test_streaming_queries_compute_their_input_once(spark, monkeypatch):
+    kept = []
+    plain = Playback.stored
+    monkeypatch.setattr(Playback, "stored", lambda self, *names: kept.append(names) or plain(self, *names))
+    QUERIES["st7_session_stream"].run(spark, "/root/testdata/sf0.001")
+    assert {"raw", *(f"dim_{d}" for d in ("title", "customer", "device", "device_version"))} <= set(kept[0])
