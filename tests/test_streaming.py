@@ -3,6 +3,7 @@
 import datetime as dt
 
 from conftest import at
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from viewtide.bind import Playback
@@ -182,6 +183,61 @@ def test_timers_close_silent_sessions_after_a_restart(spark, tmp_path):
     assert got == [("a", 3, True), ("b", 1, False), ("b", 1, True), ("c", 1, True)]
 
 
+class FakeHandle:
+    """One session's state and timers, and the messages they cost."""
+
+    def __init__(self):
+        self.held, self.timers, self.messages = None, set(), []
+
+    def getValueState(self, *_):
+        return self
+
+    def _say(self, name):
+        self.messages.append(name)
+
+    def get(self):
+        self._say("get")
+        return self.held
+
+    def exists(self):
+        self._say("exists")
+        return self.held is not None
+
+    def update(self, value):
+        self._say("update")
+        self.held = value
+
+    def clear(self):
+        self._say("clear")
+        self.held = None
+
+    def registerTimer(self, at):
+        self._say("register")
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self._say("delete")
+        self.timers.discard(at)
+
+    def listTimers(self):
+        self._say("list")
+        return iter([(t,) for t in self.timers])
+
+
+def test_a_session_costs_few_messages_to_its_state():
+    handle, idle = FakeHandle(), sessions.IdleSessions(1_000_000)
+    idle.init(handle)
+
+    def put(*at):
+        handle.messages.clear()
+        list(idle.handleInputRows(("a",), iter([Row(at=t, end=False) for t in at]), None))
+        return list(handle.messages)
+
+    assert put(5_000_000) == ["get", "register", "update"] and handle.timers == {6_001}
+    assert put(9_000_000) == ["get", "update"] and handle.timers == {6_001}  # the earliest span stands
+    assert put(5_500_000) == ["get", "delete", "register", "update"] and handle.timers == {6_501}
+
+
 def test_streaming_queries_compute_their_input_once(spark, monkeypatch):
     kept = []
     plain = Playback.stored

@@ -187,7 +187,7 @@ def timer_stream(p):
     """The same sessions from a stream in two runs over one checkpoint, each closed by its timer; a marker far in the future
     lets the last timers fire."""
     wire, log, path = (work_path(p.spark, n) for n in ("idle-in", "idle-log", "idle"))
-    rows = p.deduplicated.select(F.col("customer_id").alias("session_id"), "event_timestamp", "event_type")
+    rows = p.stored("deduplicated").deduplicated.select(F.col("customer_id").alias("session_id"), "event_timestamp", "event_type")
     middle = rows.agg(F.expr("timestamp_micros((min(unix_micros(event_timestamp)) + max(unix_micros(event_timestamp))) div 2)")
                       .alias("m")).first().m
     marker = rows.agg(F.max("event_timestamp").alias("m")).select(
